@@ -36,10 +36,19 @@ def materialize_splits(tagged: DataFrame, path: str | None = None) -> DataFrame:
     return load_splits(spark, path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back:
+    later stages start from files, not from the plan that produced them."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def flagship(spark: SparkSession, folder: str, k: int = 10, seed: int = 42) -> DataFrame:
     """(user_id, n_items, line): an ALS model trained on the fold-1 train split
     recommends titled top-k lines for every user, in one job."""
-    normed = fx.normed(spark, folder)
+    normed = materialize(fx.normed(spark, folder), "normed")
     tagged = S.hash_splits(normed, k=1, seed=seed)
     model = T.train_als(T.fold_frame(tagged, 1, "train"), seed=seed)
     lookup = R.items_lookup(normed, fx.books(spark, folder))
@@ -57,7 +66,8 @@ def trained_folds(
     per fold. Memoised per session and input so several queries share the fits."""
     key = (spark.sparkContext.applicationId, folder, k, seed)
     if key not in _TRAINED:
-        tagged = materialize_splits(S.random_splits(fx.normed(spark, folder), k=k, seed=seed))
+        normed = materialize(fx.normed(spark, folder), "normed")
+        tagged = materialize_splits(S.random_splits(normed, k=k, seed=seed))
         models = T.train_folds(tagged, k=k, seed=seed)
         _TRAINED[key] = (tagged, models)
     return _TRAINED[key]
