@@ -57,7 +57,7 @@ def invalid_book_ratings(
 ) -> DataFrame:
     """Ratings whose ISBN is one of the catalogue's invalid ISBNs (semi join)."""
     keys = invalid_books(books, isbn, pattern).select(isbn)
-    return ratings.join(keys, isbn, "left_semi")
+    return ratings.join(keys, isbn, "left_semi").select(*ratings.columns)
 
 
 def drop_orphans(ratings: DataFrame, books: DataFrame, isbn: str = "isbn") -> DataFrame:
@@ -66,7 +66,7 @@ def drop_orphans(ratings: DataFrame, books: DataFrame, isbn: str = "isbn") -> Da
     if catalogue_has_null(books, isbn):
         return ratings
     keys = books.select(isbn).filter(F.col(isbn).isNotNull())
-    orphans_removed = ratings.join(keys, isbn, "left_semi")
+    orphans_removed = ratings.join(keys, isbn, "left_semi").select(*ratings.columns)
     return orphans_removed.unionByName(ratings.filter(F.col(isbn).isNull()))
 
 
@@ -77,7 +77,7 @@ def all_zero_keys(df: DataFrame, key: str, rating: str = "book_rating") -> DataF
 
 
 def drop_all_zero(df: DataFrame, key: str, rating: str = "book_rating") -> DataFrame:
-    return df.join(all_zero_keys(df, key, rating), key, "left_anti")
+    return df.join(all_zero_keys(df, key, rating), key, "left_anti").select(*df.columns)
 
 
 def drop_zero(df: DataFrame, rating: str = "book_rating") -> DataFrame:
