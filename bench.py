@@ -1,11 +1,13 @@
 """Benchmark: the whole flow at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Stages (each forced with a full write or a no-op write, never a collect of data):
-ingest (fixture tables written once, as the reference loads its dump), clean, profile (before/after report), prepare (index + centre), sparsity, splits
-(5 random folds written), train (5 ALS fits), cross_eval (25 model x test-set
-evaluations in one job), baseline_eval (item-mean cross-evaluation),
+Runs ``quire.plans.workflow.run`` and times each stage: ingest (fixture tables
+written once, as the reference loads its dump), clean (rule tagging, CSV export),
+profile (before/after report), prepare (index + centre), sparsity, splits (5
+random folds written), train (5 ALS fits, models saved), cross_eval (25 model x
+test-set evaluations in one job), baseline_eval (item-mean cross-evaluation),
 recommend_250x2 (the reference's 2 x 250-user top-10 lists), recommend_all_users
-(top-10 lines for every user). Prints one JSON line.
+(top-10 lines for every user), package (per-user RMSE, model report, manifest).
+Every stage ends in a distributed write. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -18,23 +20,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from quire.operators import clean as C  # noqa: E402
-from quire.operators import evaluate as E  # noqa: E402
-from quire.operators import prepare as P  # noqa: E402
-from quire.operators import profile as PR  # noqa: E402
-from quire.operators import recommend as R  # noqa: E402
-from quire.operators import splits as S  # noqa: E402
-from quire.operators import train as T  # noqa: E402
-from quire.plans import fixtures as fx  # noqa: E402
-from quire.plans import reports as RP  # noqa: E402
+from quire.plans.workflow import run  # noqa: E402
 from quire.session import build_session  # noqa: E402
-from quire.sources.artifacts import load_splits, save_splits  # noqa: E402
-
-
-def noop(df):
-    df.write.format("noop").mode("overwrite").save()
 
 
 def main():
@@ -52,104 +39,22 @@ def main():
             "spark.eventLog.dir": scratch,
         },
     )
-    spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
     times: dict[str, float] = {}
 
-    def stage(name, fn):
+    def timer(name, fn):
         t0 = time.time()
         out = fn()
         times[name] = round(time.time() - t0, 3)
         return out
 
-    # ingest: the dump's three tables loaded once (insert-or-ignore applied).
-    def do_ingest():
-        fx.ratings(spark, sf_dir).write.mode("overwrite").parquet(f"{scratch}/ratings_raw")
-        fx.books(spark, sf_dir).write.mode("overwrite").parquet(f"{scratch}/books_raw")
-        fx.users(spark, sf_dir).write.mode("overwrite").parquet(f"{scratch}/users_raw")
-        return tuple(
-            spark.read.parquet(f"{scratch}/{t}_raw") for t in ("ratings", "books", "users")
-        )
-
-    ratings_r, books_r, users_r = stage("ingest", do_ingest)
-
-    # clean: tag every rating with the rule that removes it, write once.
-    def do_clean():
-        tagged = C.tag_rating_rules(ratings_r, books_r)
-        tagged.write.mode("overwrite").parquet(f"{scratch}/tagged")
-        C.clean_books(books_r).write.mode("overwrite").parquet(f"{scratch}/books")
-        C.clean_users(users_r).write.mode("overwrite").parquet(f"{scratch}/users")
-        t = spark.read.parquet(f"{scratch}/tagged")
-        clean = t.filter(F.col("dropped_by").isNull()).drop("dropped_by")
-        counts = C.rule_counts(t).collect()  # a handful of rows: one per rule
-        return clean, counts
-
-    clean, _ = stage("clean", do_clean)
-    books_c = spark.read.parquet(f"{scratch}/books")
-    users_c = spark.read.parquet(f"{scratch}/users")
-
-    def do_profile():
-        noop(RP.basics_delta((users_r, books_r, ratings_r), (users_c, books_c, clean)))
-
-    stage("profile", do_profile)
-
-    def do_prepare():
-        P.prepare(clean).write.mode("overwrite").parquet(f"{scratch}/normed")
-        return spark.read.parquet(f"{scratch}/normed")
-
-    normed = stage("prepare", do_prepare)
-    stage("sparsity", lambda: PR.sparsity(normed).collect())
-
-    def do_splits():
-        save_splits(S.random_splits(normed, k=5, seed=42), f"{scratch}/splits")
-        return load_splits(spark, f"{scratch}/splits")
-
-    tagged = stage("splits", do_splits)
-    models = stage("train_5_folds", lambda: T.train_folds(tagged, k=5, seed=42))
-
-    def do_cross():
-        results = E.cross_evaluate(T.cross_predict(models, tagged))
-        results.write.mode("overwrite").parquet(f"{scratch}/results")
-        res = spark.read.parquet(f"{scratch}/results")
-        return {r["method"]: r["model"] for r in E.best_models(res).collect()}
-
-    best = stage("cross_eval", do_cross)
-    stage("baseline_eval", lambda: E.cross_evaluate(T.item_mean_cross_predict(tagged)).collect())
-
-    lookup = R.items_lookup(normed, books_c)
-
-    def do_recommend_sampled():
-        chosen = {m: models[i] for m, i in best.items()}
-        users = {
-            m: R.sample_users(normed, 250, seed=42 + j, method="hash")
-            for j, m in enumerate(sorted(chosen))
-        }
-        R.recommend_by_method(chosen, users, lookup, k=10).write.mode("overwrite").parquet(
-            f"{scratch}/lines_sampled"
-        )
-
-    stage("recommend_250x2", do_recommend_sampled)
-
-    def do_recommend_all():
-        users = normed.select("user_id").distinct()
-        R.model_lines(models[best["UBCF"]], users, lookup, k=10).write.mode("overwrite").parquet(
-            f"{scratch}/lines_all"
-        )
-
-    stage("recommend_all_users", do_recommend_all)
-
+    run(spark, sf_dir, f"{scratch}/out", timer=timer)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(
-        json.dumps(
-            {
-                "metric": "end_to_end_sec",
-                "value": total,
-                "unit": "sec",
-                "queries": times,
-                "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-            }
-        )
-    )
+    try:
+        sf_value: float | str = float(sf)
+    except ValueError:
+        sf_value = sf
+    print(json.dumps({"metric": "end_to_end_sec", "value": total, "unit": "sec", "queries": times, "sf": sf_value}))
     spark.stop()
 
 

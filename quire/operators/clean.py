@@ -8,11 +8,12 @@ filter or a join over immutable DataFrames, and ``tag_rating_rules`` records for
 each rating the first rule that removes it, so the per-rule counts and the clean
 table come from one plan.
 
-Scale notes: the catalogue join shuffles ratings by ISBN (or broadcasts the
-catalogue when AQE measures it small). The all-zero rules aggregate partially
-before their shuffle, and the sets they produce are usually tiny, so AQE turns the
-joins back into broadcasts; when they are not, the joins shuffle and AQE splits
-skewed keys.
+Scale notes: the catalogue rules are decided per distinct ISBN (an aggregate of
+the ratings, joined with the distinct catalogue), and only the bad ISBNs are
+joined back to the ratings. The all-zero rules aggregate partially before their
+shuffle. All three sets joined back are usually small, so AQE broadcasts them and
+the full ratings are scanned but never shuffled; when a set is large the join
+shuffles and AQE splits skewed keys (a hot user or book) across tasks.
 """
 
 from __future__ import annotations
@@ -61,13 +62,12 @@ def invalid_book_ratings(
 
 
 def drop_orphans(ratings: DataFrame, books: DataFrame, isbn: str = "isbn") -> DataFrame:
-    """``DELETE ... WHERE isbn NOT IN (SELECT isbn FROM books)`` as a shuffleable
-    anti join. A rating with a NULL ISBN is not deleted by ``NOT IN``."""
-    if catalogue_has_null(books, isbn):
-        return ratings
-    keys = books.select(isbn).filter(F.col(isbn).isNotNull())
-    orphans_removed = ratings.join(keys, isbn, "left_semi").select(*ratings.columns)
-    return orphans_removed.unionByName(ratings.filter(F.col(isbn).isNull()))
+    """``DELETE ... WHERE isbn NOT IN (SELECT isbn FROM books)`` as an anti join
+    with the orphan ISBNs (decided per distinct ISBN, see ``bad_isbns``). A rating
+    with a NULL ISBN is not deleted by ``NOT IN``, and a catalogue holding a NULL
+    ISBN deletes nothing."""
+    orphans = bad_isbns(ratings, books, isbn).filter(F.col("_rule") == "orphan").select(isbn)
+    return ratings.join(orphans, isbn, "left_anti").select(*ratings.columns)
 
 
 def all_zero_keys(df: DataFrame, key: str, rating: str = "book_rating") -> DataFrame:
@@ -85,6 +85,30 @@ def drop_zero(df: DataFrame, rating: str = "book_rating") -> DataFrame:
     return df.filter(~_bool(F.col(rating) == 0))
 
 
+def bad_isbns(
+    ratings: DataFrame, books: DataFrame, isbn: str = "isbn", pattern: str = NON_DIGIT
+) -> DataFrame:
+    """(isbn, _rule): every rated ISBN the first two rules delete, decided once per
+    ISBN instead of once per rating.
+
+    Distinct rated ISBNs (partial aggregation) meet distinct catalogue ISBNs; only
+    the ISBNs that are orphans or invalid come out. That set is usually far smaller
+    than the ratings, so joining it back lets AQE broadcast it and the ratings are
+    never shuffled for the catalogue rules; when it is large the join shuffles.
+    """
+    null_in_catalogue = catalogue_has_null(books, isbn)
+    rated = ratings.select(isbn).filter(F.col(isbn).isNotNull()).distinct()
+    catalogue = (
+        books.select(isbn).filter(F.col(isbn).isNotNull()).distinct().withColumn("_in", F.lit(True))
+    )
+    per_isbn = rated.join(catalogue, isbn, "left")
+    in_catalogue = F.col("_in").isNotNull()
+    rule = F.when(~in_catalogue & F.lit(not null_in_catalogue), F.lit("orphan")).when(
+        in_catalogue & _bool(invalid_isbn(F.col(isbn), pattern)), F.lit("invalid_isbn")
+    )
+    return per_isbn.select(isbn, rule.alias("_rule")).filter(F.col("_rule").isNotNull())
+
+
 def tag_rating_rules(
     ratings: DataFrame,
     books: DataFrame,
@@ -100,20 +124,9 @@ def tag_rating_rules(
     negative rating they are subsumed by the final zero-rating delete (a group
     summing to 0 holds only zeros), which saves two aggregations and joins.
     """
-    null_in_catalogue = catalogue_has_null(books, isbn)
-    catalogue = (
-        books.select(isbn)
-        .filter(F.col(isbn).isNotNull())
-        .groupBy(isbn)
-        .agg(F.lit(True).alias("_in_catalogue"))
+    tagged = ratings.join(bad_isbns(ratings, books, isbn, pattern), isbn, "left").withColumnRenamed(
+        "_rule", "dropped_by"
     )
-    tagged = ratings.join(catalogue, isbn, "left")
-    in_catalogue = F.col("_in_catalogue").isNotNull()
-    orphan = F.col(isbn).isNotNull() & ~in_catalogue & F.lit(not null_in_catalogue)
-    invalid = in_catalogue & _bool(invalid_isbn(F.col(isbn), pattern))
-    tagged = tagged.withColumn(
-        "dropped_by", F.when(orphan, "orphan").when(invalid, "invalid_isbn")
-    ).drop("_in_catalogue")
 
     if not fused:
         for key, rule in ((user, "zero_user"), (isbn, "zero_item")):

@@ -99,8 +99,19 @@ def center_ratings(
 def prepare(
     ratings: DataFrame, user: str = "user_id", isbn: str = "isbn", rating: str = "book_rating"
 ) -> DataFrame:
-    """Index items, then centre per user: the user-item table every model uses."""
-    return center_ratings(index_items(ratings, isbn), user, rating)
+    """Index items, then centre per user: the user-item table every model uses.
+
+    Rows with a NULL ISBN are skipped by the indexer, so they take no part in the
+    means either; both the index and the means are aggregated from that filtered
+    input, and the input is joined with each (no join is computed twice).
+    """
+    base = ratings.filter(F.col(isbn).isNotNull())
+    means = user_means(base, user, rating)
+    return (
+        base.join(item_index(base, isbn), isbn, "inner")
+        .join(means, user, "inner")
+        .withColumn("norm", F.col(rating).cast("double") - F.col("user_mean"))
+    )
 
 
 def ui_matrix(df: DataFrame, columns: Sequence[str] = ("user_id", "isbn", "book_rating")) -> DataFrame:

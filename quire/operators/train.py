@@ -56,7 +56,14 @@ def make_als(
 
 
 def train_als(train: DataFrame, **kwargs) -> ALSModel:
-    ensure_checkpoint_dir(train.sparkSession)
+    """Fit ALS. Unless given, user and item block counts follow the cluster's
+    default parallelism (ALS's own default of 10 blocks would leave most of a
+    large cluster idle and make each block's normal equations huge)."""
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    blocks = max(spark.sparkContext.defaultParallelism, 1)
+    kwargs.setdefault("num_user_blocks", blocks)
+    kwargs.setdefault("num_item_blocks", blocks)
     return make_als(**kwargs).fit(train)
 
 

@@ -130,9 +130,11 @@ def model_report(
     user: str = "user_id",
     item: str = "item_id",
     label: str = "norm",
+    by: list[str] | None = None,
 ) -> DataFrame:
     """6.a best UB and IB averages; 6.b histogram of per-user and per-item RMSE of
-    ``preds``; 6.c one line per (method, user) from ``lines``."""
+    ``preds`` (one count per (by..., entity) when ``by`` is given, e.g. model and
+    fold); 6.c one line per (method, user) from ``lines``."""
     spark = best.sparkSession
     pivot = best.agg(
         F.max(F.when(F.col("method") == "UBCF", F.col("rmse"))).alias("ub"),
@@ -144,7 +146,7 @@ def model_report(
         F.lit(0).cast("bigint").alias("key"),
         F.format_string(RMSE_LINE, "ub", "ib").alias("line"),
     )
-    hist = rmse_histogram_table(preds, user, item, label, width=width)
+    hist = rmse_histogram_table(preds, user, item, label, width=width, by=by)
     hist_lines = _lines(
         hist,
         "6.b",
@@ -161,6 +163,8 @@ def model_report(
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """Text file(s) in report order; each task writes its range of lines."""
-    ordered = report.orderBy("section", "part", "key")
+    """Text file(s) in report order (a range-partitioned sort, so each task
+    writes one contiguous range of lines); a ``stage`` column puts 'before' first."""
+    order = [F.col("stage") != "before"] if "stage" in report.columns else []
+    ordered = report.orderBy(*order, "section", "part", "key")
     ordered.select("line").write.mode("overwrite").text(path)
