@@ -11,9 +11,10 @@ table come from one plan.
 Scale notes: the catalogue rules are decided per distinct ISBN (an aggregate of
 the ratings, joined with the distinct catalogue), and only the bad ISBNs are
 joined back to the ratings. The all-zero rules aggregate partially before their
-shuffle. All three sets joined back are usually small, so AQE broadcasts them and
-the full ratings are scanned but never shuffled; when a set is large the join
-shuffles and AQE splits skewed keys (a hot user or book) across tasks.
+shuffle. The per-key tables (one row per ISBN or user, checkpointed) also give
+the hot keys, which ``skew.join_back`` salts, so a user or book with a third of
+all ratings is joined by many tasks. The sets joined back are usually small, so
+AQE broadcasts them and the full ratings are scanned but not shuffled.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from quire.functions.predicates import (
     null_above,
     null_out_of_range,
 )
+from quire.operators.skew import hot_keys, join_back
+from quire.session import ensure_checkpoint_dir
 
 # Rule names, in the order the reference applies them.
 RULES = ("orphan", "invalid_isbn", "zero_user", "zero_item", "zero_rating")
@@ -86,7 +89,11 @@ def drop_zero(df: DataFrame, rating: str = "book_rating") -> DataFrame:
 
 
 def bad_isbns(
-    ratings: DataFrame, books: DataFrame, isbn: str = "isbn", pattern: str = NON_DIGIT
+    ratings: DataFrame,
+    books: DataFrame,
+    isbn: str = "isbn",
+    pattern: str = NON_DIGIT,
+    rated: DataFrame | None = None,
 ) -> DataFrame:
     """(isbn, _rule): every rated ISBN the first two rules delete, decided once per
     ISBN instead of once per rating.
@@ -95,9 +102,11 @@ def bad_isbns(
     the ISBNs that are orphans or invalid come out. That set is usually far smaller
     than the ratings, so joining it back lets AQE broadcast it and the ratings are
     never shuffled for the catalogue rules; when it is large the join shuffles.
+    ``rated`` may pass the distinct rated ISBNs when they are already at hand.
     """
     null_in_catalogue = catalogue_has_null(books, isbn)
-    rated = ratings.select(isbn).filter(F.col(isbn).isNotNull()).distinct()
+    if rated is None:
+        rated = ratings.select(isbn).filter(F.col(isbn).isNotNull()).distinct()
     catalogue = (
         books.select(isbn).filter(F.col(isbn).isNotNull()).distinct().withColumn("_in", F.lit(True))
     )
@@ -109,6 +118,17 @@ def bad_isbns(
     return per_isbn.select(isbn, rule.alias("_rule")).filter(F.col("_rule").isNotNull())
 
 
+def key_counts(df: DataFrame, key: str, rating: str | None = None, alive=None) -> DataFrame:
+    """(key, _n[, _sum]): rows per key, and the sum of ``rating`` over the rows
+    where ``alive`` holds; checkpointed, since totals, hot keys and the rule all
+    read it."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if rating is not None:
+        value = F.col(rating) if alive is None else F.when(alive, F.col(rating))
+        aggs.append(F.sum(value).alias("_sum"))
+    return df.groupBy(key).agg(*aggs).checkpoint(eager=True)
+
+
 def tag_rating_rules(
     ratings: DataFrame,
     books: DataFrame,
@@ -124,16 +144,24 @@ def tag_rating_rules(
     negative rating they are subsumed by the final zero-rating delete (a group
     summing to 0 holds only zeros), which saves two aggregations and joins.
     """
-    tagged = ratings.join(bad_isbns(ratings, books, isbn, pattern), isbn, "left").withColumnRenamed(
+    ensure_checkpoint_dir(ratings.sparkSession)
+    per_isbn = key_counts(ratings.filter(F.col(isbn).isNotNull()), isbn)
+    bad = bad_isbns(ratings, books, isbn, pattern, rated=per_isbn.select(isbn))
+    tagged = join_back(ratings, bad, isbn, "left", hot_keys(per_isbn, isbn, "_n")).withColumnRenamed(
         "_rule", "dropped_by"
     )
 
     if not fused:
         for key, rule in ((user, "zero_user"), (isbn, "zero_item")):
-            alive = tagged.filter(F.col("dropped_by").isNull())
-            zero = all_zero_keys(alive, key, rating).withColumn("_zero", F.lit(True))
+            alive = F.col("dropped_by").isNull()
+            counts = key_counts(tagged.filter(F.col(key).isNotNull()), key, rating, alive)
+            # HAVING SUM(rating) = 0 over the rows still alive; a key with no alive
+            # row sums to NULL and is not selected.
+            zero = counts.filter(F.col("_sum") == 0).select(
+                key, F.lit(True).alias("_zero")
+            )
             tagged = (
-                tagged.join(zero, key, "left")
+                join_back(tagged, zero, key, "left", hot_keys(counts, key, "_n"))
                 .withColumn(
                     "dropped_by",
                     F.when(

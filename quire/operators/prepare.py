@@ -8,9 +8,10 @@ shifted by the sizes of the partitions before them (a table with one row per
 partition, so broadcasting it has a proven bound).
 
 ``user_means`` aggregates per user and joins the means back, instead of an
-unordered window: the aggregate is partial before its shuffle, and AQE splits a
-hot user on the join, so a user with a third of all ratings never lands whole in
-one task.
+unordered window: the aggregate is partial before its shuffle, and the join back
+salts hot users (``skew.join_back``), so a user with a third of all ratings never
+lands whole in one task. The per-user and per-item tables are checkpointed (one
+row per key) because each is read three times: total, hot keys, join.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.skew import hot_keys, join_back
 from quire.session import ensure_checkpoint_dir
 
 _PART_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in partition
@@ -65,25 +67,36 @@ def dense_index(
     )
 
 
-def item_index(ratings: DataFrame, isbn: str = "isbn", out: str = "item_id") -> DataFrame:
+def item_index(
+    ratings: DataFrame, isbn: str = "isbn", out: str = "item_id", with_counts: bool = False
+) -> DataFrame:
     """(isbn, item_id): items by rating count descending, ties by ISBN ascending;
-    NULL ISBNs are skipped."""
+    NULL ISBNs are skipped. ``with_counts`` keeps the count as ``_n``."""
     counts = (
         ratings.filter(F.col(isbn).isNotNull())
         .groupBy(isbn)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     indexed = dense_index(counts, [F.desc("_n"), F.asc(isbn)], out)
-    return indexed.select(isbn, F.col(out).cast("int").alias(out))
+    cols = [isbn, F.col(out).cast("int").alias(out)] + (["_n"] if with_counts else [])
+    return indexed.select(*cols)
 
 
 def index_items(ratings: DataFrame, isbn: str = "isbn", out: str = "item_id") -> DataFrame:
     """Ratings with ``item_id``; rows with a NULL ISBN are dropped (``skip``)."""
-    return ratings.join(item_index(ratings, isbn, out), isbn, "inner")
+    base = ratings.filter(F.col(isbn).isNotNull())
+    items = item_index(base, isbn, out, with_counts=True)
+    return join_back(base, items.drop("_n"), isbn, "inner", hot_keys(items, isbn, "_n"))
 
 
 def user_means(ratings: DataFrame, user: str = "user_id", rating: str = "book_rating") -> DataFrame:
-    return ratings.groupBy(user).agg(F.avg(rating).alias("user_mean"))
+    """(user, user_mean, _n): one row per user, checkpointed."""
+    ensure_checkpoint_dir(ratings.sparkSession)
+    return (
+        ratings.groupBy(user)
+        .agg(F.avg(rating).alias("user_mean"), F.count(F.lit(1)).alias("_n"))
+        .checkpoint(eager=True)
+    )
 
 
 def center_ratings(
@@ -91,9 +104,8 @@ def center_ratings(
 ) -> DataFrame:
     """Add ``user_mean`` and ``out`` = rating - user mean (NULL rating stays NULL)."""
     means = user_means(ratings, user, rating)
-    return ratings.join(means, user, "inner").withColumn(
-        out, F.col(rating).cast("double") - F.col("user_mean")
-    )
+    joined = join_back(ratings, means.drop("_n"), user, "inner", hot_keys(means, user, "_n"))
+    return joined.withColumn(out, F.col(rating).cast("double") - F.col("user_mean"))
 
 
 def prepare(
@@ -106,12 +118,7 @@ def prepare(
     input, and the input is joined with each (no join is computed twice).
     """
     base = ratings.filter(F.col(isbn).isNotNull())
-    means = user_means(base, user, rating)
-    return (
-        base.join(item_index(base, isbn), isbn, "inner")
-        .join(means, user, "inner")
-        .withColumn("norm", F.col(rating).cast("double") - F.col("user_mean"))
-    )
+    return center_ratings(index_items(base, isbn), user, rating)
 
 
 def ui_matrix(df: DataFrame, columns: Sequence[str] = ("user_id", "isbn", "book_rating")) -> DataFrame:
