@@ -30,8 +30,13 @@ def ratings_per(df: DataFrame, key: str, rating: str = "book_rating") -> DataFra
 def activity_histogram(df: DataFrame, key: str, rating: str = "book_rating") -> DataFrame:
     """(bin, n): how many keys have exactly ``bin`` positive ratings. Both steps
     aggregate partially; the second works on one row per key."""
-    per_key = ratings_per(df, key, rating)
-    return per_key.groupBy(F.col("n_ratings").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return histogram_of_counts(ratings_per(df, key, rating))
+
+
+def histogram_of_counts(per_key: DataFrame, n_col: str = "n_ratings") -> DataFrame:
+    """(bin, n) from a per-key count table (keys with a zero count are left out)."""
+    positive_keys = per_key.filter(F.col(n_col) > 0)
+    return positive_keys.groupBy(F.col(n_col).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _rank_top(df: DataFrame, order: list, k: int) -> DataFrame:
@@ -42,10 +47,13 @@ def _rank_top(df: DataFrame, order: list, k: int) -> DataFrame:
 
 def top_users(df: DataFrame, k: int = 10, user: str = "user_id", rating: str = "book_rating") -> DataFrame:
     """(rank, user_id, n_ratings): the k users with most positive ratings."""
-    per_user = ratings_per(df, user, rating)
-    return _rank_top(per_user, [F.desc("n_ratings"), F.asc(user)], k).select(
-        "rank", user, "n_ratings"
-    )
+    return top_of_counts(ratings_per(df, user, rating), user, k)
+
+
+def top_of_counts(per_key: DataFrame, key: str, k: int = 10, n_col: str = "n_ratings") -> DataFrame:
+    """(rank, key, n_ratings): the k keys with the highest positive count."""
+    ranked = per_key.filter(F.col(n_col) > 0)
+    return _rank_top(ranked, [F.desc(n_col), F.asc(key)], k).select("rank", key, n_col)
 
 
 def top_rated_books(
@@ -64,7 +72,19 @@ def top_rated_books(
     sees one row per ISBN. A catalogue with repeated ISBNs fans the count out,
     exactly as the join-then-count does; title and author come from one of them.
     """
-    per_book = ratings_per(ratings, isbn, rating)
+    return top_books_of_counts(ratings_per(ratings, isbn, rating), books, k, isbn, title, author)
+
+
+def top_books_of_counts(
+    per_book: DataFrame,
+    books: DataFrame,
+    k: int = 10,
+    isbn: str = "isbn",
+    title: str = "book_title",
+    author: str = "book_author",
+) -> DataFrame:
+    """``top_rated_books`` from a per-ISBN positive count table."""
+    per_book = per_book.filter(F.col("n_ratings") > 0)
     joined = per_book.join(books.select(isbn, title, author), isbn, "inner")
     per_isbn = joined.groupBy(isbn).agg(
         F.sum("n_ratings").alias("n_ratings"),
@@ -81,6 +101,14 @@ def top_rated_books(
     )
 
 
+def per_key_counts(df: DataFrame, key: str, rating: str = "book_rating") -> DataFrame:
+    """(key, n_rows, n_ratings): all rows and positive ratings per key, one scan."""
+    return df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(positive(rating), F.lit(1))).alias("n_ratings"),
+    )
+
+
 def sparsity(df: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
     """(n_users, n_items, n_ratings, sparsity) in one aggregation job; the reference
     runs three. An empty table yields a NULL sparsity instead of a division error."""

@@ -12,7 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.evaluate import rmse_histogram_table
-from quire.operators.profile import activity_histogram, table_counts, top_rated_books, top_users
+from quire.operators.profile import (
+    histogram_of_counts,
+    per_key_counts,
+    top_books_of_counts,
+    top_of_counts,
+)
+from quire.session import ensure_checkpoint_dir
 
 # The profile report's text (sections 3.a-3.g).
 COUNT_LINES = {
@@ -83,9 +89,20 @@ def basics_report(
     user: str = "user_id",
     isbn: str = "isbn",
 ) -> DataFrame:
-    """Counts, two activity histograms and two top-k lists as report lines."""
+    """Counts, two activity histograms and two top-k lists as report lines.
+
+    The ratings are scanned twice: once per user and once per book, each a
+    partial aggregate checkpointed as one row per key. The rating count, both
+    histograms and both top lists are derived from those two small tables."""
     spark = ratings.sparkSession
-    counts = table_counts(users, books, ratings)
+    ensure_checkpoint_dir(spark)
+    per_user = per_key_counts(ratings, user).checkpoint(eager=True)
+    per_book = per_key_counts(ratings, isbn).checkpoint(eager=True)
+    counts = (
+        users.agg(F.count(F.lit(1)).alias("n")).select(F.lit("users").alias("metric"), "n")
+        .unionByName(books.agg(F.count(F.lit(1)).alias("n")).select(F.lit("books").alias("metric"), "n"))
+        .unionByName(per_user.agg(F.sum("n_rows").alias("n")).select(F.lit("ratings").alias("metric"), "n"))
+    )
     count_parts = []
     for metric, (section, fmt) in COUNT_LINES.items():
         count_parts.append(
@@ -93,13 +110,13 @@ def basics_report(
                 F.lit(section).alias("section"),
                 F.lit(1).alias("part"),
                 F.lit(0).cast("bigint").alias("key"),
-                F.format_string(fmt, F.col("n")).alias("line"),
+                F.format_string(fmt, F.coalesce(F.col("n"), F.lit(0)).cast("bigint")).alias("line"),
             )
         )
-    hist_u = activity_histogram(ratings, user)
-    hist_b = activity_histogram(ratings, isbn)
-    tb = top_rated_books(ratings, books, k)
-    tu = top_users(ratings, k)
+    hist_u = histogram_of_counts(per_user)
+    hist_b = histogram_of_counts(per_book)
+    tb = top_books_of_counts(per_book, books, k, isbn)
+    tu = top_of_counts(per_user, user, k)
     parts = count_parts + [
         _lines(hist_u, "3.d", F.col("bin"), F.format_string(HIST_ROW, "bin", "n")),
         _lines(hist_b, "3.e", F.col("bin"), F.format_string(HIST_ROW, "bin", "n")),
