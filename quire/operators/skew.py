@@ -32,17 +32,19 @@ DEFAULT_SHARE = 4
 def hot_keys(counts: DataFrame, key: str, n_col: str) -> list[tuple[object, int]]:
     """(key, salts) for every key whose count exceeds the hot threshold.
 
-    ``counts`` has one row per key. Two small jobs: the total, then the (bounded)
-    hot rows. A key is hot above ``max(total / (share * P), minRows)`` rows, and
-    it gets ``ceil(count / threshold)`` salts, at most P.
+    ``counts`` has one row per key. One small job gives the total and the largest
+    count; only when some key is hot does a second job fetch the (bounded) hot
+    rows. A key is hot above ``max(total / (share * P), minRows)`` rows, and it
+    gets ``ceil(count / threshold)`` salts, at most P.
     """
     spark = counts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     share = int(spark.conf.get(SHARE_CONF, str(DEFAULT_SHARE)))
     min_rows = int(spark.conf.get(MIN_ROWS_CONF, str(DEFAULT_MIN_ROWS)))
-    total = counts.agg(F.sum(n_col)).first()[0] or 0
+    total, largest = counts.agg(F.sum(n_col), F.max(n_col)).first()
+    total, largest = total or 0, largest or 0
     threshold = max(total / float(share * parts), float(min_rows), 1.0)
-    if total <= threshold:
+    if largest <= threshold:
         return []
     rows = counts.filter(F.col(n_col) > F.lit(threshold)).select(key, n_col).collect()
     return [(r[0], int(min(parts, math.ceil(r[1] / threshold)))) for r in rows]
