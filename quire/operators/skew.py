@@ -7,9 +7,9 @@ partitioned by the key, so the join has no shuffle on that side to split, and a
 key holding a third of all rows would be joined inside one task.
 
 ``join_back`` salts such keys explicitly. Keys with more than
-``total / (share * partitions)`` rows are hot (so there are at most
-``share * partitions`` of them, a proven bound for the broadcast that carries
-them). Each hot key's rows get a salt in ``[0, n)`` from a hash of the row, and
+``total / (share * cores)`` rows are hot, where cores is the cluster's default
+parallelism (so there are at most ``share * cores`` of them, a proven bound for
+the broadcast that carries them: about 32k small rows on an 8,000-core cluster). Each hot key's rows get a salt in ``[0, n)`` from a hash of the row, and
 its single row on the aggregate side is replicated n times. The join then runs
 on (key, salt) and spreads the hot key over n tasks. Cold keys keep salt 0, and
 when nothing is hot the plain join is used.
@@ -34,16 +34,17 @@ def hot_keys(counts: DataFrame, key: str, n_col: str) -> list[tuple[object, int]
 
     ``counts`` has one row per key. One small job gives the total and the largest
     count; only when some key is hot does a second job fetch the (bounded) hot
-    rows. A key is hot above ``max(total / (share * P), minRows)`` rows, and it
-    gets ``ceil(count / threshold)`` salts, at most P.
+    rows. A key is hot above ``max(total / (share * cores), minRows)`` rows, and it
+    gets ``ceil(count / threshold)`` salts, at most the shuffle partition count.
     """
     spark = counts.sparkSession
+    cores = max(spark.sparkContext.defaultParallelism, 1)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     share = int(spark.conf.get(SHARE_CONF, str(DEFAULT_SHARE)))
     min_rows = int(spark.conf.get(MIN_ROWS_CONF, str(DEFAULT_MIN_ROWS)))
     total, largest = counts.agg(F.sum(n_col), F.max(n_col)).first()
     total, largest = total or 0, largest or 0
-    threshold = max(total / float(share * parts), float(min_rows), 1.0)
+    threshold = max(total / float(share * cores), float(min_rows), 1.0)
     if largest <= threshold:
         return []
     rows = counts.filter(F.col(n_col) > F.lit(threshold)).select(key, n_col).collect()

@@ -62,3 +62,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="quire-ckpt-")
     sc.setCheckpointDir(folder)
     return folder
+
+
+def sizing_conf(
+    input_bytes: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    min_partitions: int = 8,
+) -> dict[str, str]:
+    """Shuffle and scan sizing for an input of ``input_bytes``.
+
+    The initial shuffle partition count aims at ``target_partition_bytes`` per
+    partition before AQE coalesces small ones, so the largest shuffles of a
+    100 TB input start near 400k partitions instead of 200. Scan splits use the
+    same target so that a task's input fits comfortably in executor memory.
+    """
+    partitions = max(min_partitions, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
