@@ -113,3 +113,38 @@ def test_cross_evaluate_and_best(spark):
     best = {r["method"]: r["model"] for r in E.best_models(spark.createDataFrame(res)).collect()}
     assert best["UBCF"] == min(res, key=lambda r: (r["ub_rmse_avg"], r["model"]))["model"]
     assert best["IBCF"] == min(res, key=lambda r: (r["ib_rmse_avg"], r["model"]))["model"]
+
+
+def test_top_list_ties_at_rank_ten_break_by_key(spark):
+    # eleven books with one rating each: the tie at rank 10 goes to the smaller ISBN
+    ratings = spark.createDataFrame(
+        [(u, f"{i:010d}", 5) for i, u in zip(range(11), range(100, 111))], "user_id bigint, isbn string, book_rating int"
+    )
+    books = spark.createDataFrame(
+        [(f"{i:010d}", f"t{i}", "a") for i in range(11)], "isbn string, book_title string, book_author string"
+    )
+    top = PR.top_rated_books(ratings, books, k=10).orderBy("rank").collect()
+    assert [r["isbn"] for r in top] == [f"{i:010d}" for i in range(10)]
+    assert [r["rank"] for r in top] == list(range(1, 11))
+
+
+def test_duplicate_catalogue_isbn_fans_out_like_the_join(spark):
+    ratings = spark.createDataFrame([(1, "0000000001", 5), (2, "0000000001", 3)], "user_id bigint, isbn string, book_rating int")
+    books = spark.createDataFrame(
+        [("0000000001", "B", "x"), ("0000000001", "A", "y")], "isbn string, book_title string, book_author string"
+    )
+    row = PR.top_rated_books(ratings, books).first()
+    # join then count: two catalogue rows x two ratings
+    assert row["n_ratings"] == 4 and (row["book_title"], row["book_author"]) == ("A", "y")
+
+
+def test_cold_start_rows_are_dropped(spark):
+    train = spark.createDataFrame(
+        [(1, 0, 1.0), (1, 1, -1.0), (2, 0, 0.5), (2, 1, 0.2), (3, 1, 0.3)], "user_id bigint, item_id int, norm double"
+    )
+    test = spark.createDataFrame(
+        [(1, 1, 0.0), (9, 0, 1.0), (2, 7, 1.0)], "user_id bigint, item_id int, norm double"
+    )
+    model = T.train_als(train, seed=3, rank=2, maxIter=3)
+    preds = T.predict(model, test).collect()
+    assert [(r["user_id"], r["item_id"]) for r in preds] == [(1, 1)]
