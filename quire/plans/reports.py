@@ -98,21 +98,20 @@ def basics_report(
     ensure_checkpoint_dir(spark)
     per_user = per_key_counts(ratings, user).checkpoint(eager=True)
     per_book = per_key_counts(ratings, isbn).checkpoint(eager=True)
-    counts = (
-        users.agg(F.count(F.lit(1)).alias("n")).select(F.lit("users").alias("metric"), "n")
-        .unionByName(books.agg(F.count(F.lit(1)).alias("n")).select(F.lit("books").alias("metric"), "n"))
-        .unionByName(per_user.agg(F.sum("n_rows").alias("n")).select(F.lit("ratings").alias("metric"), "n"))
-    )
-    count_parts = []
-    for metric, (section, fmt) in COUNT_LINES.items():
-        count_parts.append(
-            counts.filter(F.col("metric") == metric).select(
-                F.lit(section).alias("section"),
-                F.lit(1).alias("part"),
-                F.lit(0).cast("bigint").alias("key"),
-                F.format_string(fmt, F.coalesce(F.col("n"), F.lit(0)).cast("bigint")).alias("line"),
-            )
+    totals = {
+        "users": users.agg(F.count(F.lit(1)).alias("n")),
+        "books": books.agg(F.count(F.lit(1)).alias("n")),
+        "ratings": per_user.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n")),
+    }
+    count_parts = [
+        totals[metric].select(
+            F.lit(section).alias("section"),
+            F.lit(1).alias("part"),
+            F.lit(0).cast("bigint").alias("key"),
+            F.format_string(fmt, F.col("n")).alias("line"),
         )
+        for metric, (section, fmt) in COUNT_LINES.items()
+    ]
     hist_u = histogram_of_counts(per_user)
     hist_b = histogram_of_counts(per_book)
     tb = top_books_of_counts(per_book, books, k, isbn)
