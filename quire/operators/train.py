@@ -94,13 +94,18 @@ def fold_rmse(models: dict[int, ALSModel], tagged: DataFrame, label: str = "norm
     return scored.groupBy("fold").agg(F.sqrt(F.avg(diff * diff)).alias("rmse"))
 
 
-def cross_predict(models: dict[int, ALSModel], tagged: DataFrame) -> DataFrame:
+def cross_predict(models: dict[int, ALSModel], tagged: DataFrame, own_fold_only: bool = False) -> DataFrame:
     """Every model on every fold's test split, as one frame tagged ``model``,
-    ``fold``. Test sets are read once per model from the tagged splits."""
+    ``fold``. Test sets are read once per model from the tagged splits.
+
+    The default scores each model on all test sets, as the reference does (so a
+    model also meets rows it trained on); ``own_fold_only`` keeps each model to
+    its own fold's test split, which prunes the other folds at the scan."""
     tests = tagged.filter(F.col("split") == "test")
     out = None
     for m, model in sorted(models.items()):
-        part = predict(model, tests).withColumn("model", F.lit(m))
+        mine = tests.filter(F.col("fold") == m) if own_fold_only else tests
+        part = predict(model, mine).withColumn("model", F.lit(m))
         out = part if out is None else out.unionByName(part)
     return out.na.drop(subset=["prediction"])
 

@@ -2,7 +2,7 @@
 
 import os
 
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quire import schemas
 from quire.operators import dump as D
@@ -42,9 +42,7 @@ def test_parse_tuples_and_insert_or_ignore(spark):
     assert rows.count() == 3
     first = insert_or_ignore(rows, ["user_id", "isbn"], ["load_order"]).drop("load_order")
     assert sorted(tuple(r) for r in first.collect()) == [(1, "0001", 5), (2, "0002", None)]
-    books = D.parse_dump_rows(
-        norm, "BX_Books", schemas.BOOKS.__class__(schemas.BOOKS.fields[:4])
-    ).collect()
+    books = D.parse_dump_rows(norm, "BX_Books", StructType(schemas.BOOKS.fields[:4])).collect()
     assert books[0]["book_title"] == "It's an insert story"
     assert books[0]["book_author"] == "A (b), c"
     assert books[0]["year_of_publication"] == 1999
