@@ -36,12 +36,14 @@ def dense_index(
     local sort, the row position inside a partition is the low part of
     ``monotonically_increasing_id``. The numbered frame is checkpointed (reliable
     storage) so partition sizes and positions come from one materialisation.
+    Without ``num_partitions`` AQE may coalesce the range partitions; coalesced
+    partitions are contiguous ranges in order, so the numbering is unchanged.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     numbered = (
-        df.repartitionByRange(n, *order)
+        ranged
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .checkpoint(eager=True)
