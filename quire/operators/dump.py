@@ -82,8 +82,14 @@ def parse_dump_rows(
 
     Run after ``normalize_dump`` so that only '' quote escapes remain.
     """
-    target = rf"(?i)^\s*INSERT\b.*\bINTO\s+`?{table}`?\s"
-    rows = lines.filter(F.col(column).rlike(target)).select(
+    # Plain string tests on the whole upper-cased line: cheaper than a regex with a
+    # backtracking ``.*`` and the same meaning (SQL names are case-insensitive).
+    upper = F.upper(F.col(column))
+    name = table.upper()
+    target = F.ltrim(upper).startswith("INSERT") & (
+        upper.contains(f"INTO {name} ") | upper.contains(f"INTO `{name}` ")
+    )
+    rows = lines.filter(target).select(
         F.col(order).alias("_line"),
         F.posexplode(F.regexp_extract_all(F.col(column), F.lit(TUPLE_PATTERN), 1)).alias(
             "_pos", "_tuple"
