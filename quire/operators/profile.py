@@ -83,18 +83,21 @@ def top_books_of_counts(
     title: str = "book_title",
     author: str = "book_author",
 ) -> DataFrame:
-    """``top_rated_books`` from a per-ISBN positive count table."""
+    """``top_rated_books`` from a per-ISBN positive count table.
+
+    The catalogue is reduced to one row per ISBN first (number of copies, and the
+    smallest (title, author)), so a repeated ISBN cannot pile up in one join task;
+    the count is then n_ratings x copies, exactly what join-then-count gives."""
     per_book = per_book.filter(F.col("n_ratings") > 0)
-    joined = per_book.join(books.select(isbn, title, author), isbn, "inner")
-    per_isbn = joined.groupBy(isbn).agg(
-        F.sum("n_ratings").alias("n_ratings"),
+    catalogue = books.groupBy(isbn).agg(
+        F.count(F.lit(1)).alias("_copies"),
         F.min(F.struct(F.col(title), F.col(author))).alias("_book"),
     )
-    per_isbn = per_isbn.select(
+    per_isbn = per_book.join(catalogue, isbn, "inner").select(
         isbn,
         F.col(f"_book.{title}").alias(title),
         F.col(f"_book.{author}").alias(author),
-        "n_ratings",
+        (F.col("n_ratings") * F.col("_copies")).alias("n_ratings"),
     )
     return _rank_top(per_isbn, [F.desc("n_ratings"), F.asc(isbn)], k).select(
         "rank", isbn, title, author, "n_ratings"

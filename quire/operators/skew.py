@@ -29,7 +29,7 @@ DEFAULT_MIN_ROWS = 1_000_000
 DEFAULT_SHARE = 4
 
 
-def hot_keys(counts: DataFrame, key: str, n_col: str) -> list[tuple[object, int]]:
+def hot_keys(counts: DataFrame, key: str | Sequence[str], n_col: str) -> list[tuple]:
     """(key, salts) for every key whose count exceeds the hot threshold.
 
     ``counts`` has one row per key. One small job gives the total and the largest
@@ -47,31 +47,34 @@ def hot_keys(counts: DataFrame, key: str, n_col: str) -> list[tuple[object, int]
     threshold = max(total / float(share * cores), float(min_rows), 1.0)
     if largest <= threshold:
         return []
-    rows = counts.filter(F.col(n_col) > F.lit(threshold)).select(key, n_col).collect()
-    return [(r[0], int(min(parts, math.ceil(r[1] / threshold)))) for r in rows]
+    keys = [key] if isinstance(key, str) else list(key)
+    rows = counts.filter(F.col(n_col) > F.lit(threshold)).select(*keys, n_col).collect()
+    return [(*r[:-1], int(min(parts, math.ceil(r[-1] / threshold)))) for r in rows]
 
 
 def join_back(
     big: DataFrame,
     small: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     how: str = "inner",
-    hot: Sequence[tuple[object, int]] | None = None,
+    hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
-    """``big.join(small, key, how)`` where ``small`` has one row per key, with the
-    hot keys of ``big`` spread over several tasks. Output columns as the plain join."""
+    """``big.join(small, key, how)`` where ``small`` has one row per key (one
+    column or several), with the hot keys of ``big`` spread over several tasks.
+    Output columns as the plain join."""
+    keys = [key] if isinstance(key, str) else list(key)
     if not hot:
-        return big.join(small, key, how)
+        return big.join(small, keys, how)
     spark = big.sparkSession
-    key_type = big.schema[key].dataType.simpleString()
-    table = F.broadcast(spark.createDataFrame(list(hot), f"`{key}` {key_type}, _salts int"))
+    ddl = ", ".join(f"`{k}` {big.schema[k].dataType.simpleString()}" for k in keys)
+    table = F.broadcast(spark.createDataFrame(list(hot), f"{ddl}, _salts int"))
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    salted_big = big.join(table, key, "left").withColumn(
+    salted_big = big.join(table, keys, "left").withColumn(
         "_salt",
         F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, F.col("_salts")).cast("int")),
     ).drop("_salts")
     replicas = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).otherwise(
         F.sequence(F.lit(0), F.col("_salts") - 1)
     )
-    salted_small = small.join(table, key, "left").withColumn("_salt", F.explode(replicas)).drop("_salts")
-    return salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")
+    salted_small = small.join(table, keys, "left").withColumn("_salt", F.explode(replicas)).drop("_salts")
+    return salted_big.join(salted_small, keys + ["_salt"], how).drop("_salt")

@@ -16,6 +16,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.skew import hot_keys, join_back
 from quire.session import ensure_checkpoint_dir
 
 # The reference's ALS configuration.
@@ -131,10 +132,24 @@ def item_mean_models(tagged: DataFrame, item: str = "item_id", label: str = "nor
 
 def item_mean_predict(tagged: DataFrame, item: str = "item_id", label: str = "norm") -> DataFrame:
     """Each fold's test rows scored by the same fold's item-mean model; items
-    without train ratings are dropped (cold start)."""
-    models = item_mean_models(tagged, item, label).withColumnRenamed("model", "fold")
-    tests = tagged.filter(F.col("split") == "test")
-    return tests.join(models, ["fold", item], "inner")
+    without train ratings are dropped (cold start).
+
+    One aggregate per (fold, item) gives both the model (train mean) and the
+    number of test rows, which names the hot items to salt on the join back."""
+    is_train = F.col("split") == "train"
+    per_key = (
+        tagged.groupBy("fold", item)
+        .agg(
+            F.avg(F.when(is_train, F.col(label))).alias("prediction"),
+            F.count(F.when(is_train, F.lit(1))).alias("_n_train"),
+            F.count(F.when(~is_train, F.lit(1))).alias("_n"),
+        )
+        .filter(F.col("_n_train") > 0)
+        .drop("_n_train")
+    )
+    tests = tagged.filter(~is_train)
+    hot = hot_keys(per_key, ["fold", item], "_n")
+    return join_back(tests, per_key.drop("_n"), ["fold", item], "inner", hot)
 
 
 def item_mean_cross_predict(tagged: DataFrame, item: str = "item_id", label: str = "norm") -> DataFrame:

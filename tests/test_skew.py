@@ -67,6 +67,20 @@ def test_hot_key_results_are_whole(spark, skewed):
         assert len(hot) == 1
         assert hot[0]["load_order"] == skewed.filter(pair).agg(F.min("load_order")).first()[0]
 
+        # hot item in the item-mean predictor: salted on (fold, item_id), same rows
+        from quire.operators import splits as S
+        from quire.operators import train as T
+
+        normed = P.prepare(ratings.withColumn("item_key", F.lit(1).cast("bigint")))
+        tagged = S.hash_splits(normed.withColumn("item_key", F.col("item_id").cast("bigint")), k=1)
+        preds = T.item_mean_predict(tagged)
+        rows = preds.collect()
+        assert "_salt" in _plans(preds)
+        expected = tagged.filter("split = 'test'").join(
+            tagged.filter("split = 'train'").select("item_id").distinct(), "item_id"
+        ).count()
+        assert len(rows) == expected
+
         scores = ratings.select("user_id", F.hash("isbn").alias("item_id"), F.col("book_rating").cast("double").alias("score"))
         top = R.rank_topk(scores, k=10)
         assert top.filter(F.col("user_id") == 1).count() == 10
