@@ -68,5 +68,61 @@ def hash_splits(
     )
 
 
+def random_split_mask(df: DataFrame, k: int = 5, seed: int = 42, train_fraction: float = 0.8) -> DataFrame:
+    """The same k independent draws as ``random_splits``, stored as one int column
+    ``test_mask`` (bit f-1 set: the row is in fold f's test split) instead of k
+    copies of every row. Written once, the splits take the input's size rather
+    than k times it; a fold is a filter on one bit (see ``fold_rows``)."""
+    bits = [
+        F.when(F.rand(seed + f - 1) >= train_fraction, F.lit(1 << (f - 1))).otherwise(F.lit(0))
+        for f in range(1, k + 1)
+    ]
+    mask = bits[0]
+    for b in bits[1:]:
+        mask = mask.bitwiseOR(b)
+    return df.withColumn("test_mask", mask.cast("int"))
+
+
+def _in_test(fold: int | F.Column) -> F.Column:
+    """Bit fold-1 of ``test_mask`` is set."""
+    bit = F.lit(1 << (fold - 1)) if isinstance(fold, int) else F.pow(F.lit(2), fold - 1).cast("int")
+    return F.col("test_mask").bitwiseAND(bit) != 0
+
+
+def fold_rows(tagged: DataFrame, fold: int, split: str) -> DataFrame:
+    """One fold's train or test rows, for either layout: (fold, split) columns or
+    a ``test_mask`` column. The result carries ``fold`` and ``split``."""
+    if "test_mask" in tagged.columns:
+        in_test = _in_test(fold)
+        rows = tagged.filter(in_test if split == "test" else ~in_test)
+        return rows.drop("test_mask").withColumn("fold", F.lit(fold)).withColumn("split", F.lit(split))
+    return tagged.filter((F.col("fold") == fold) & (F.col("split") == split))
+
+
+def test_rows(tagged: DataFrame, k: int) -> DataFrame:
+    """Every (fold, test row) pair, for either layout; with a mask each row yields
+    one row per fold whose test split holds it (no copies stored)."""
+    if "test_mask" in tagged.columns:
+        folds = F.filter(F.array(*[F.lit(f) for f in range(1, k + 1)]), _in_test)
+        return (
+            tagged.withColumn("fold", F.explode(folds))
+            .drop("test_mask")
+            .withColumn("split", F.lit("test"))
+        )
+    return tagged.filter(F.col("split") == "test")
+
+
+def as_rows(tagged: DataFrame, k: int) -> DataFrame:
+    """The (fold, split) row layout of either layout; a mask is expanded lazily,
+    k rows per input row, only for consumers that need every fold at once."""
+    if "test_mask" not in tagged.columns:
+        return tagged
+    return (
+        tagged.withColumn("fold", F.explode(F.array(*[F.lit(f) for f in range(1, k + 1)])))
+        .withColumn("split", F.when(_in_test(F.col("fold")), F.lit("test")).otherwise(F.lit("train")))
+        .drop("test_mask")
+    )
+
+
 def split_sizes(tagged: DataFrame) -> DataFrame:
     return tagged.groupBy("fold", "split").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.skew import hot_keys, join_back
+from quire.operators.splits import as_rows, fold_rows, test_rows
 from quire.session import ensure_checkpoint_dir
 
 # The reference's ALS configuration.
@@ -75,7 +76,8 @@ def predict(model: ALSModel, test: DataFrame) -> DataFrame:
 
 
 def fold_frame(tagged: DataFrame, fold: int, split: str) -> DataFrame:
-    return tagged.filter((F.col("fold") == fold) & (F.col("split") == split))
+    """One fold's train or test rows (row layout or ``test_mask`` layout)."""
+    return fold_rows(tagged, fold, split)
 
 
 def train_folds(tagged: DataFrame, k: int = 5, concurrent: int | None = None, **kwargs) -> dict[int, ALSModel]:
@@ -112,7 +114,7 @@ def cross_predict(models: dict[int, ALSModel], tagged: DataFrame, own_fold_only:
     The default scores each model on all test sets, as the reference does (so a
     model also meets rows it trained on); ``own_fold_only`` keeps each model to
     its own fold's test split, which prunes the other folds at the scan."""
-    tests = tagged.filter(F.col("split") == "test")
+    tests = test_rows(tagged, max(models))
     out = None
     for m, model in sorted(models.items()):
         mine = tests.filter(F.col("fold") == m) if own_fold_only else tests
@@ -121,21 +123,23 @@ def cross_predict(models: dict[int, ALSModel], tagged: DataFrame, own_fold_only:
     return out.na.drop(subset=["prediction"])
 
 
-def item_mean_models(tagged: DataFrame, item: str = "item_id", label: str = "norm") -> DataFrame:
+def item_mean_models(tagged: DataFrame, item: str = "item_id", label: str = "norm", k: int = 5) -> DataFrame:
     """(model, item_id, prediction): for each fold, the train mean of ``label`` per item."""
     return (
-        tagged.filter(F.col("split") == "train")
+        as_rows(tagged, k)
+        .filter(F.col("split") == "train")
         .groupBy(F.col("fold").alias("model"), item)
         .agg(F.avg(label).alias("prediction"))
     )
 
 
-def item_mean_predict(tagged: DataFrame, item: str = "item_id", label: str = "norm") -> DataFrame:
+def item_mean_predict(tagged: DataFrame, item: str = "item_id", label: str = "norm", k: int = 5) -> DataFrame:
     """Each fold's test rows scored by the same fold's item-mean model; items
     without train ratings are dropped (cold start).
 
     One aggregate per (fold, item) gives both the model (train mean) and the
     number of test rows, which names the hot items to salt on the join back."""
+    tagged = as_rows(tagged, k)
     is_train = F.col("split") == "train"
     per_key = (
         tagged.groupBy("fold", item)
@@ -152,9 +156,9 @@ def item_mean_predict(tagged: DataFrame, item: str = "item_id", label: str = "no
     return join_back(tests, per_key.drop("_n"), ["fold", item], "inner", hot)
 
 
-def item_mean_cross_predict(tagged: DataFrame, item: str = "item_id", label: str = "norm") -> DataFrame:
+def item_mean_cross_predict(tagged: DataFrame, item: str = "item_id", label: str = "norm", k: int = 5) -> DataFrame:
     """Every item-mean model on every test split, tagged ``model`` and ``fold``.
     Joined on the item only: each test row meets one model row per fold model."""
-    models = item_mean_models(tagged, item, label)
-    tests = tagged.filter(F.col("split") == "test")
+    models = item_mean_models(tagged, item, label, k)
+    tests = test_rows(tagged, k)
     return tests.join(models, item, "inner")

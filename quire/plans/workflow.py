@@ -244,7 +244,13 @@ def run(
 
     normed = stage("prepare", prepare)
     stage("sparsity", lambda: PR.sparsity(normed).collect())
-    tagged = stage("splits", lambda: materialize_splits(S.random_splits(normed, k=k, seed=seed), paths["splits"]))
+    def splits():
+        # k independent draws kept as one test_mask column: the splits take the
+        # size of the user-item table, not k copies of it.
+        S.random_split_mask(normed, k=k, seed=seed).write.mode("overwrite").parquet(paths["splits"])
+        return read(paths["splits"])
+
+    tagged = stage("splits", splits)
 
     def train():
         models = T.train_folds(tagged, k=k, seed=seed)
@@ -267,7 +273,7 @@ def run(
         return preds, results, best
 
     cross_preds, results, best = stage("cross_eval", cross)
-    stage("baseline_eval", lambda: E.cross_evaluate(T.item_mean_cross_predict(tagged)).collect())
+    stage("baseline_eval", lambda: E.cross_evaluate(T.item_mean_cross_predict(tagged, k=k)).collect())
 
     lookup = R.items_lookup(normed, books_c)
     chosen = {m: models[i] for m, i in best.items()}
@@ -310,10 +316,13 @@ def run(
             "R.IB": f"{out}/ALS_model_fold_{best['IBCF']}",
             "V.RMSE": paths["V.RMSE"],
         }
+        filters = {}
         for f in range(1, k + 1):
-            entries[f"eval_sets.{f}.train"] = f"{paths['splits']}/fold={f}/split=train"
-            entries[f"eval_sets.{f}.test"] = f"{paths['splits']}/fold={f}/split=test"
-        write_manifest(spark, entries, paths["manifest"])
+            for split, test in (("train", "= 0"), ("test", "<> 0")):
+                name = f"eval_sets.{f}.{split}"
+                entries[name] = paths["splits"]
+                filters[name] = f"(test_mask & {1 << (f - 1)}) {test}"
+        write_manifest(spark, entries, paths["manifest"], filters)
         return entries
 
     return stage("package", package)

@@ -67,7 +67,9 @@ def test_manifest_round_trip(spark, tmp_dir):
     entries = {"UI": "/a/ui", "R.UB": "/a/ub", "R.IB": "/a/ib", "V.RMSE": "/a/rmse"}
     path = os.path.join(tmp_dir, "manifest")
     write_manifest(spark, entries, path)
-    assert {r["artifact"]: r["path"] for r in read_manifest(spark, path).collect()} == entries
+    back = read_manifest(spark, path).collect()
+    assert {r["artifact"]: r["path"] for r in back} == entries
+    assert all(r["filter"] is None for r in back)
 
 
 def test_dump_lines_keep_file_order(spark, tmp_dir):

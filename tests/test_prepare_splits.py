@@ -57,3 +57,21 @@ def test_hash_splits_are_deterministic(spark):
     a = S.hash_splits(normed, k=2).groupBy("fold", "split").count().collect()
     b = S.hash_splits(normed.repartition(3), k=2).groupBy("fold", "split").count().collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_mask_layout_equals_row_layout(spark):
+    normed = fx.normed(spark, SF0001)
+    rows = S.random_splits(normed, k=5, seed=42)
+    masked = S.random_split_mask(normed, k=5, seed=42)
+    key = ["user_id", "isbn", "fold", "split"]
+    a = rows.select(*key)
+    b = S.as_rows(masked, 5).select(*key)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for f in (1, 3):
+        for split in ("train", "test"):
+            x = S.fold_rows(rows, f, split).select(*key)
+            y = S.fold_rows(masked, f, split).select(*key)
+            assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+    t = S.test_rows(masked, 5).select(*key)
+    assert t.exceptAll(rows.filter("split = 'test'").select(*key)).count() == 0
+    assert t.count() == rows.filter("split = 'test'").count()

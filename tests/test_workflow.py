@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from quire.plans.workflow import run
 from quire.sources import read_manifest, read_ratings_csv
+from quire.sources.artifacts import read_artifact
 
 
 def test_run_writes_consistent_artifacts(spark, tmp_dir):
@@ -15,7 +16,8 @@ def test_run_writes_consistent_artifacts(spark, tmp_dir):
     manifest = run(spark, SF0001, out, k=3, n_users=20, timer=lambda n, fn: (stages.append(n), fn())[1])
     assert stages[0] == "ingest" and stages[-1] == "package"
     # manifest: UI, two chosen models, per-user RMSE, and train/test paths per fold
-    m = {r["artifact"]: r["path"] for r in read_manifest(spark, os.path.join(out, "manifest")).collect()}
+    man = read_manifest(spark, os.path.join(out, "manifest"))
+    m = {r["artifact"]: r["path"] for r in man.collect()}
     assert m == manifest
     assert {"UI", "R.UB", "R.IB", "V.RMSE"} <= set(m)
     assert sum(1 for k in m if k.startswith("eval_sets.")) == 6
@@ -25,11 +27,12 @@ def test_run_writes_consistent_artifacts(spark, tmp_dir):
     kept = tagged.filter(F.col("dropped_by").isNull()).select("user_id", "isbn", "book_rating")
     assert csv.count() == kept.count() == 3931
     assert csv.exceptAll(kept).count() == 0
-    # every fold's train and test together are the whole user-item table
+    # every fold's train and test are disjoint and together the whole user-item table
     ui = spark.read.parquet(m["UI"]).count()
     for f in (1, 2, 3):
-        n = spark.read.parquet(m[f"eval_sets.{f}.train"]).count() + spark.read.parquet(m[f"eval_sets.{f}.test"]).count()
-        assert n == ui
+        train = read_artifact(spark, man, f"eval_sets.{f}.train").count()
+        test = read_artifact(spark, man, f"eval_sets.{f}.test").count()
+        assert train + test == ui and 0 < test < train
     # per-user RMSE for both methods; reports carry all sections
     v = spark.read.parquet(m["V.RMSE"])
     assert {r["method"] for r in v.select("method").distinct().collect()} == {"UBCF", "IBCF"}
