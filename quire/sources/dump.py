@@ -7,13 +7,22 @@ from pyspark.sql import functions as F
 
 
 def read_dump_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``value`` plus ``load_order``, the position of the line in the input.
+    """``value`` plus ``load_order``, the position of the line in the input:
+    (file name, start offset of the file split, row id).
 
-    ``monotonically_increasing_id`` right after the scan increases with file order
-    (partition index in the high bits, row within the split in the low bits), so it
-    is the load order that insert-or-ignore needs, without any driver round trip.
+    Spark packs file splits into partitions by size, not by position, so a row id
+    alone does not follow file order across splits or files. The split's file and
+    start offset order the splits; ``monotonically_increasing_id``, taken right at
+    the scan, orders lines inside one split. No driver round trip is needed.
     """
-    return spark.read.text(path).withColumn("load_order", F.monotonically_increasing_id())
+    return spark.read.text(path).withColumn(
+        "load_order",
+        F.struct(
+            F.input_file_name().alias("file"),
+            F.input_file_block_start().alias("offset"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
+    )
 
 
 def write_lines(df: DataFrame, path: str, column: str = "value", mode: str = "overwrite") -> None:

@@ -64,3 +64,20 @@ def test_streaming_rewrite_matches_batch(spark, tmp_dir):
     got = sorted(r["value"] for r in spark.read.text(sink).collect())
     want = sorted(r["value"] for r in D.normalize_dump(_lines(spark)).collect())
     assert got == want
+
+
+def test_dump_files_round_trip_to_the_ratings_table(spark, tmp_dir):
+    from conftest import SF0001
+    from quire.plans import fixtures as fx
+    from quire.sources import read_dump_lines, write_lines
+
+    path = os.path.join(tmp_dir, "ratings_dump")
+    lines = fx.dump_lines(spark, SF0001).filter("source = 'BX-Book-Ratings.sql'")
+    # A range sort writes part files whose names follow the load order.
+    write_lines(lines.orderBy("load_order"), path)
+    back = D.normalize_dump(read_dump_lines(spark, path))
+    rows = D.parse_dump_rows(back, "BX_Book_Ratings", schemas.RATINGS)
+    got = insert_or_ignore(rows, ["user_id", "isbn"], ["load_order"]).select("user_id", "isbn", "book_rating")
+    want = fx.ratings(spark, SF0001).select("user_id", "isbn", "book_rating")
+    assert got.count() == want.count() == 5382
+    assert got.exceptAll(want).count() == 0

@@ -72,6 +72,24 @@ def test_manifest_round_trip(spark, tmp_dir):
     assert all(r["filter"] is None for r in back)
 
 
+def test_dump_lines_keep_file_order_across_splits_and_files(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "dumps")
+    os.makedirs(folder)
+    for name, n in (("a.sql", 3000), ("b.sql", 500)):
+        with open(os.path.join(folder, name), "w") as f:
+            for i in range(n):
+                f.write(f"{name} line {i:05d} " + "x" * 40 + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # many splits per file
+    try:
+        lines = read_dump_lines(spark, folder)
+        got = [r["value"][:16] for r in lines.orderBy("load_order").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = [f"a.sql line {i:05d}" for i in range(3000)] + [f"b.sql line {i:05d}" for i in range(500)]
+    assert got == want
+
+
 def test_dump_lines_keep_file_order(spark, tmp_dir):
     src = os.path.join(tmp_dir, "dump.sql")
     with open(src, "w") as f:
