@@ -220,6 +220,7 @@ def run(
     def clean():
         C.tag_rating_rules(ratings_r, books_r).write.mode("overwrite").parquet(paths["tagged"])
         tagged = read(paths["tagged"])
+        # one row per rule (six at most)
         counts = {r["rule"]: r["n_rows"] for r in C.rule_counts(tagged).collect()}
         kept = tagged.filter(F.col("dropped_by").isNull()).drop("dropped_by")
         write_csv(kept.select("user_id", "isbn", "book_rating"), paths["ratings_csv"])
@@ -243,7 +244,7 @@ def run(
         return read(paths["normed"])
 
     normed = stage("prepare", prepare)
-    stage("sparsity", lambda: PR.sparsity(normed).collect())
+    stage("sparsity", lambda: PR.sparsity(normed).collect())  # one row
     def splits():
         # k independent draws kept as one test_mask column: the splits take the
         # size of the user-item table, not k copies of it.
@@ -269,10 +270,11 @@ def run(
         preds = read(paths["cross_preds"])
         E.cross_evaluate(preds).write.mode("overwrite").parquet(paths["results"])
         results = read(paths["results"])
-        best = {r["method"]: r["model"] for r in E.best_models(results).collect()}
+        best = {r["method"]: r["model"] for r in E.best_models(results).collect()}  # two rows
         return preds, results, best
 
     cross_preds, results, best = stage("cross_eval", cross)
+    # k rows, one per model
     stage("baseline_eval", lambda: E.cross_evaluate(T.item_mean_cross_predict(tagged, k=k)).collect())
 
     lookup = R.items_lookup(normed, books_c)
