@@ -52,3 +52,60 @@ def test_sizing_conf_scales_with_input():
     big = sizing_conf(100 * 1024**4)
     assert int(small["spark.sql.shuffle.partitions"]) == 8
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
+
+
+def _sequential_clean(ratings, catalogue):
+    """The reference's deletes in order, with SQL NULL semantics, in plain Python."""
+    import re
+
+    rows = list(ratings)
+    # 1. DELETE WHERE isbn NOT IN (SELECT isbn FROM books): unknown (kept) when the
+    #    rating's isbn is NULL or the list holds a NULL.
+    if None not in catalogue:
+        rows = [r for r in rows if r[1] is None or r[1] in catalogue]
+    # 2. ratings of books with an invalid ISBN ('' or a non-digit), by IN list
+    invalid = {b for b in catalogue if b is not None and (b == "" or re.search("[^0-9]", b))}
+    rows = [r for r in rows if r[1] not in invalid]
+
+    # 3./4. keys whose ratings sum to 0 (NULL sums are not 0)
+    def zero_keys(idx):
+        sums = {}
+        for r in rows:
+            if r[idx] is None:
+                continue
+            s = sums.setdefault(r[idx], None)
+            if r[2] is not None:
+                sums[r[idx]] = (s or 0) + r[2]
+        return {k for k, v in sums.items() if v == 0}
+
+    zu = zero_keys(0)
+    rows = [r for r in rows if r[0] not in zu]
+    zi = zero_keys(1)
+    rows = [r for r in rows if r[1] not in zi]
+    # 5. DELETE WHERE rating = 0 (NULL stays)
+    return [r for r in rows if r[2] != 0]
+
+
+ratings_rows = st.lists(
+    st.tuples(
+        st.one_of(st.none(), st.integers(1, 4)),
+        st.sampled_from([None, "", "001", "002", "003", "00X", "12a", "004"]),
+        st.one_of(st.none(), st.integers(-2, 3)),
+    ),
+    min_size=1,
+    max_size=30,
+)
+catalogue_rows = st.lists(st.sampled_from([None, "", "001", "002", "00X", "12a", "004"]), max_size=7)
+
+
+@SETTINGS
+@given(ratings_rows, catalogue_rows)
+def test_rule_tagging_equals_sequential_deletes(spark, ratings, catalogue):
+    from quire.operators import clean as C
+
+    r = spark.createDataFrame(ratings, "user_id int, isbn string, book_rating int")
+    b = spark.createDataFrame([(x,) for x in catalogue] or [("999",)], "isbn string")
+    cat = set(catalogue) if catalogue else {"999"}
+    got = sorted((tuple(x) for x in C.clean_ratings(r, b).collect()), key=repr)
+    want = sorted(_sequential_clean(ratings, cat), key=repr)
+    assert got == want
