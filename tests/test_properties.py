@@ -109,3 +109,29 @@ def test_rule_tagging_equals_sequential_deletes(spark, ratings, catalogue):
     got = sorted((tuple(x) for x in C.clean_ratings(r, b).collect()), key=repr)
     want = sorted(_sequential_clean(ratings, cat), key=repr)
     assert got == want
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.sampled_from([1, 1, 1, 1, 2, 3, None]), st.integers(0, 9)), min_size=1, max_size=60),
+    st.sets(st.sampled_from([1, 2, 3, 4]), max_size=4),
+    st.sampled_from(["inner", "left"]),
+)
+def test_join_back_equals_plain_join(spark, big_rows, small_keys, how):
+    from quire.operators.skew import hot_keys, join_back
+
+    big = spark.createDataFrame(big_rows, "k int, v int")
+    small = spark.createDataFrame([(k, k * 10) for k in sorted(small_keys)] or [(99, 990)], "k int, w int")
+    counts = big.groupBy("k").count().withColumnRenamed("count", "_n")
+    old = spark.conf.get("spark.quire.skew.minRows", None)
+    spark.conf.set("spark.quire.skew.minRows", "1")
+    try:
+        hot = hot_keys(counts, "k", "_n")
+    finally:
+        if old is None:
+            spark.conf.unset("spark.quire.skew.minRows")
+        else:
+            spark.conf.set("spark.quire.skew.minRows", old)
+    got = sorted((tuple(r) for r in join_back(big, small, "k", how, hot).select("k", "v", "w").collect()), key=repr)
+    want = sorted((tuple(r) for r in big.join(small, "k", how).select("k", "v", "w").collect()), key=repr)
+    assert got == want
