@@ -62,11 +62,12 @@ _TRAINED: dict[tuple[str, str, int, int], tuple[DataFrame, dict[int, ALSModel]]]
 def trained_folds(
     spark: SparkSession, folder: str, k: int = 5, seed: int = 42
 ) -> tuple[DataFrame, dict[int, ALSModel]]:
-    """Random 80/20 splits (seeds seed..seed+k-1), written once, and one ALS model
-    per fold. Memoised per session and input so several queries share the fits."""
+    """Random 80/20 splits (seeds seed..seed+k-1), written once as a test mask, and
+    one ALS model per fold. Memoised per session and input so several queries
+    share the fits."""
     key = (spark.sparkContext.applicationId, folder, k, seed)
     if key not in _TRAINED:
-        tagged = materialize_splits(S.random_splits(fx.normed(spark, folder), k=k, seed=seed))
+        tagged = materialize(S.random_split_mask(fx.normed(spark, folder), k=k, seed=seed), "splits")
         models = T.train_folds(tagged, k=k, seed=seed)
         _TRAINED[key] = (tagged, models)
     return _TRAINED[key]
