@@ -101,17 +101,41 @@ def user_means(ratings: DataFrame, user: str = "user_id", rating: str = "book_ra
     )
 
 
+INT_MIN, INT_MAX = -(2**31), 2**31 - 1
+
+
 def center_ratings(
-    ratings: DataFrame, user: str = "user_id", rating: str = "book_rating", out: str = "norm"
+    ratings: DataFrame,
+    user: str = "user_id",
+    rating: str = "book_rating",
+    out: str = "norm",
+    index_users: bool | str = False,
 ) -> DataFrame:
-    """Add ``user_mean`` and ``out`` = rating - user mean (NULL rating stays NULL)."""
+    """Add ``user_mean`` and ``out`` = rating - user mean (NULL rating stays NULL).
+
+    ``index_users`` adds ``user_idx``, a dense int id per user (ids in user
+    order), for ALS, which only takes int ids. It is numbered on the per-user
+    table that is built anyway, so it rides on the same join. ``"auto"`` numbers
+    users only when some id does not fit in an int.
+    """
     means = user_means(ratings, user, rating)
+    if index_users == "auto":
+        lo, hi = means.agg(F.min(user), F.max(user)).first()
+        index_users = lo is not None and (lo < INT_MIN or hi > INT_MAX)
+    if index_users:
+        means = dense_index(means, [F.asc(user)], "user_idx").withColumn(
+            "user_idx", F.col("user_idx").cast("int")
+        )
     joined = join_back(ratings, means.drop("_n"), user, "inner", hot_keys(means, user, "_n"))
     return joined.withColumn(out, F.col(rating).cast("double") - F.col("user_mean"))
 
 
 def prepare(
-    ratings: DataFrame, user: str = "user_id", isbn: str = "isbn", rating: str = "book_rating"
+    ratings: DataFrame,
+    user: str = "user_id",
+    isbn: str = "isbn",
+    rating: str = "book_rating",
+    index_users: bool | str = False,
 ) -> DataFrame:
     """Index items, then centre per user: the user-item table every model uses.
 
@@ -120,7 +144,7 @@ def prepare(
     input, and the input is joined with each (no join is computed twice).
     """
     base = ratings.filter(F.col(isbn).isNotNull())
-    return center_ratings(index_items(base, isbn), user, rating)
+    return center_ratings(index_items(base, isbn), user, rating, index_users=index_users)
 
 
 def ui_matrix(df: DataFrame, columns: Sequence[str] = ("user_id", "isbn", "book_rating")) -> DataFrame:

@@ -241,10 +241,13 @@ def run(
 
     def prepare():
         P.ui_matrix(clean_r).write.mode("overwrite").parquet(paths["UI"])
-        P.prepare(clean_r).write.mode("overwrite").parquet(paths["normed"])
+        # Users get a dense int id only if some id does not fit ALS's int ids.
+        P.prepare(clean_r, index_users="auto").write.mode("overwrite").parquet(paths["normed"])
         return read(paths["normed"])
 
     normed = stage("prepare", prepare)
+    als_user = "user_idx" if "user_idx" in normed.columns else "user_id"
+    carry = [als_user] if als_user != "user_id" else []
     stage("sparsity", lambda: PR.sparsity(normed).collect())  # one row
     def splits():
         # k independent draws kept as one test_mask column: the splits take the
@@ -255,7 +258,7 @@ def run(
     tagged = stage("splits", splits)
 
     def train():
-        models = T.train_folds(tagged, k=k, seed=seed)
+        models = T.train_folds(tagged, k=k, seed=seed, user=als_user)
         for f, m in models.items():
             save_model(m, f"{out}/ALS_model_fold_{f}")
         return models
@@ -283,7 +286,7 @@ def run(
 
     def recommend_sampled():
         users = {
-            m: R.sample_users(normed, n_users, seed=seed + j, method="hash")
+            m: R.sample_users(normed, n_users, seed=seed + j, method="hash", carry=carry)
             for j, m in enumerate(sorted(chosen))
         }
         R.recommend_by_method(chosen, users, lookup, top_k).write.mode("overwrite").parquet(
@@ -294,7 +297,7 @@ def run(
     lines = stage(f"recommend_{n_users}x{len(chosen)}", recommend_sampled)
 
     def recommend_all():
-        users = normed.select("user_id").distinct()
+        users = normed.select("user_id", *carry).distinct()
         R.model_lines(chosen["UBCF"], users, lookup, top_k).write.mode("overwrite").parquet(paths["lines_all"])
 
     stage("recommend_all_users", recommend_all)

@@ -148,3 +148,21 @@ def test_cold_start_rows_are_dropped(spark):
     model = T.train_als(train, seed=3, rank=2, maxIter=3)
     preds = T.predict(model, test).collect()
     assert [(r["user_id"], r["item_id"]) for r in preds] == [(1, 1)]
+
+
+def test_user_ids_beyond_int_range_are_indexed_for_als(spark):
+    from quire.operators import prepare as P
+
+    big = 2**40
+    ratings = fx.clean(spark, SF0001).withColumn("user_id", F.col("user_id") + F.lit(big))
+    normed = P.prepare(ratings, index_users="auto")
+    assert "user_idx" in normed.columns
+    n_users = normed.select("user_id").distinct().count()
+    assert sorted(r[0] for r in normed.select("user_idx").distinct().collect()) == list(range(n_users))
+    assert "user_idx" not in P.prepare(fx.clean(spark, SF0001), index_users="auto").columns
+    model = T.train_als(normed, seed=1, user="user_idx", maxIter=3)
+    users = normed.select("user_id", "user_idx").distinct().orderBy("user_id").limit(15)
+    lookup = R.items_lookup(normed, fx.books(spark, SF0001))
+    lines = R.model_lines(model, users, lookup, k=10).collect()
+    assert len(lines) == 15 and all(r["user_id"] >= big for r in lines)
+    assert all(r["n_items"] == 10 for r in lines)
