@@ -1,9 +1,10 @@
 """End-to-end flow: clean -> prepare -> split -> train -> cross-evaluate -> select ->
 recommend, with materialisation points in the shared checkpoint folder.
 
-Splits are written once (partitioned by fold and split) and read back, as the
-reference does with its Parquet folds: every model then trains on a stable input,
-and a lost executor re-reads files instead of replaying the cleaning plan.
+Splits are written once and read back, as the reference does with its Parquet
+folds: every model then trains on a stable input, and a lost executor re-reads
+files instead of replaying the cleaning plan. ``run`` stores the k draws as one
+``test_mask`` column (the size of the input, not k copies of it).
 """
 
 from __future__ import annotations
@@ -176,8 +177,9 @@ def run(
     under ``out`` (a shared folder). Returns the manifest entries.
 
     ``timer(name, fn)`` wraps each stage (the benchmark times them). Every stage
-    ends in a distributed write; the driver only ever receives the per-rule counts
-    and the two-row model selection.
+    ends in a distributed write; the driver only ever receives small bounded
+    results: per-rule counts, the sparsity row, k evaluation rows, the two-row
+    model selection, and the bounded hot-key lists.
     """
     from quire.operators import clean as C
     from quire.operators import prepare as P
