@@ -11,10 +11,11 @@ table come from one plan.
 Scale notes: the catalogue rules are decided per distinct ISBN (an aggregate of
 the ratings, joined with the distinct catalogue), and only the bad ISBNs are
 joined back to the ratings. The all-zero rules aggregate partially before their
-shuffle. The per-key tables (one row per ISBN or user, checkpointed) also give
-the hot keys, which ``skew.join_back`` salts, so a user or book with a third of
-all ratings is joined by many tasks. The sets joined back are usually small, so
-AQE broadcasts them and the full ratings are scanned but not shuffled.
+shuffle. Each set joined back goes through ``skew.join_small``: counted, and
+broadcast when within a row bound (the usual case: the full ratings are scanned
+but not shuffled), otherwise joined by a shuffle that salts the hot keys named by
+the per-key counts, so a user or book with a third of all ratings is joined by
+many tasks.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from quire.functions.predicates import (
     null_above,
     null_out_of_range,
 )
-from quire.operators.skew import hot_keys, join_back
+from quire.operators.skew import join_small
 from quire.session import ensure_checkpoint_dir
 
 # Rule names, in the order the reference applies them.
@@ -145,11 +146,10 @@ def tag_rating_rules(
     summing to 0 holds only zeros), which saves two aggregations and joins.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
-    per_isbn = key_counts(ratings.filter(F.col(isbn).isNotNull()), isbn)
-    bad = bad_isbns(ratings, books, isbn, pattern, rated=per_isbn.select(isbn))
-    tagged = join_back(ratings, bad, isbn, "left", hot_keys(per_isbn, isbn, "_n")).withColumnRenamed(
-        "_rule", "dropped_by"
-    )
+    bad = bad_isbns(ratings, books, isbn, pattern)
+    tagged = join_small(
+        ratings, bad, isbn, "left", counts=lambda: key_counts(ratings.filter(F.col(isbn).isNotNull()), isbn)
+    ).withColumnRenamed("_rule", "dropped_by")
 
     if not fused:
         for key, rule in ((user, "zero_user"), (isbn, "zero_item")):
@@ -161,7 +161,7 @@ def tag_rating_rules(
                 key, F.lit(True).alias("_zero")
             )
             tagged = (
-                join_back(tagged, zero, key, "left", hot_keys(counts, key, "_n"))
+                join_small(tagged, zero, key, "left", counts=counts)
                 .withColumn(
                     "dropped_by",
                     F.when(

@@ -9,8 +9,9 @@ partition, so broadcasting it has a proven bound).
 
 ``user_means`` aggregates per user and joins the means back, instead of an
 unordered window: the aggregate is partial before its shuffle, and the join back
-salts hot users (``skew.join_back``), so a user with a third of all ratings never
-lands whole in one task. The per-user and per-item tables are checkpointed (one
+(``skew.join_small``) broadcasts the per-user table when it is within a row bound
+and otherwise salts hot users, so a user with a third of all ratings never lands
+whole in one task. The per-user and per-item tables are checkpointed (one
 row per key) because each is read three times: total, hot keys, join.
 """
 
@@ -21,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.skew import hot_keys, join_back
+from quire.operators.skew import join_small
 from quire.session import ensure_checkpoint_dir
 
 _PART_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in partition
@@ -88,7 +89,7 @@ def index_items(ratings: DataFrame, isbn: str = "isbn", out: str = "item_id") ->
     """Ratings with ``item_id``; rows with a NULL ISBN are dropped (``skip``)."""
     base = ratings.filter(F.col(isbn).isNotNull())
     items = item_index(base, isbn, out, with_counts=True)
-    return join_back(base, items.drop("_n"), isbn, "inner", hot_keys(items, isbn, "_n"))
+    return join_small(base, items.drop("_n"), isbn, "inner", counts=items)
 
 
 def user_means(ratings: DataFrame, user: str = "user_id", rating: str = "book_rating") -> DataFrame:
@@ -126,7 +127,7 @@ def center_ratings(
         means = dense_index(means, [F.asc(user)], "user_idx").withColumn(
             "user_idx", F.col("user_idx").cast("int")
         )
-    joined = join_back(ratings, means.drop("_n"), user, "inner", hot_keys(means, user, "_n"))
+    joined = join_small(ratings, means.drop("_n"), user, "inner", counts=means)
     return joined.withColumn(out, F.col(rating).cast("double") - F.col("user_mean"))
 
 

@@ -78,3 +78,36 @@ def join_back(
     )
     salted_small = small.join(table, keys, "left").withColumn("_salt", F.explode(replicas)).drop("_salts")
     return salted_big.join(salted_small, keys + ["_salt"], how).drop("_salt")
+
+
+BROADCAST_ROWS_CONF = "spark.quire.broadcastRows"
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def join_small(
+    big: DataFrame,
+    small: DataFrame,
+    key: str | Sequence[str],
+    how: str = "inner",
+    counts=None,
+    n_col: str = "_n",
+) -> DataFrame:
+    """Join ``big`` with a one-row-per-key ``small`` side: broadcast behind a size
+    check, salted shuffle join beyond it.
+
+    ``small`` is checkpointed (it is read twice: counted, then joined) and counted.
+    Up to ``spark.quire.broadcastRows`` rows it is broadcast, a proven bound, and
+    ``big`` is not shuffled at all. Beyond that the join shuffles through
+    ``join_back``, with the hot keys taken from ``counts`` (a per-key count table,
+    or a function building one, called only in that case).
+    """
+    spark = big.sparkSession
+    limit = int(spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
+    small = small.checkpoint(eager=True)
+    if small.count() <= limit:
+        keys = [key] if isinstance(key, str) else list(key)
+        return big.join(F.broadcast(small), keys, how)
+    if callable(counts):
+        counts = counts()
+    hot = hot_keys(counts, key, n_col) if counts is not None else []
+    return join_back(big, small, key, how, hot)

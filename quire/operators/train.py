@@ -16,7 +16,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.skew import hot_keys, join_back
+from quire.operators.skew import join_small
 from quire.operators.splits import as_rows, fold_rows, test_rows
 from quire.session import ensure_checkpoint_dir
 
@@ -152,8 +152,8 @@ def item_mean_predict(tagged: DataFrame, item: str = "item_id", label: str = "no
         .drop("_n_train")
     )
     tests = tagged.filter(~is_train)
-    hot = hot_keys(per_key, ["fold", item], "_n")
-    return join_back(tests, per_key.drop("_n"), ["fold", item], "inner", hot)
+    per_key = per_key.checkpoint(eager=True)
+    return join_small(tests, per_key.drop("_n"), ["fold", item], "inner", counts=per_key)
 
 
 def item_mean_cross_predict(tagged: DataFrame, item: str = "item_id", label: str = "norm", k: int = 5) -> DataFrame:

@@ -37,6 +37,7 @@ def test_hot_key_results_are_whole(spark, skewed):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
         "spark.quire.skew.minRows": "1000",
+        "spark.quire.broadcastRows": "0",  # force the shuffle path that salts
     }
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
