@@ -105,6 +105,19 @@ def q_clean_users(spark, d):
     return C.clean_users(fx.users(spark, d))
 
 
+def q_clean_age(spark, d):
+    """P5 alone: ages outside 6..80 become NULL."""
+    return C.clean_users(fx.users(spark, d)).select("user_id", "age")
+
+
+def q_clean_year(spark, d):
+    """P6 alone, on the whole catalogue: years above 2025 become NULL."""
+    from quire.functions.predicates import YEAR_MAX, null_above
+
+    books = fx.books(spark, d)
+    return books.select("isbn", null_above("year_of_publication", YEAR_MAX).alias("year_of_publication"))
+
+
 def q_zero_users(spark, d):
     return C.all_zero_keys(fx.ratings(spark, d), "user_id")
 
@@ -282,6 +295,8 @@ QUERIES: dict[str, Query] = {
     "clean_ratings_fused": q_clean_ratings_fused,
     "clean_books": q_clean_books,
     "clean_users": q_clean_users,
+    "clean_age": q_clean_age,
+    "clean_year": q_clean_year,
     "zero_users": q_zero_users,
     "zero_items": q_zero_items,
     "drop_zero_users": q_drop_zero_users,

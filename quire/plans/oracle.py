@@ -231,6 +231,10 @@ SELECT coalesce(d, 'kept') AS rule, count(*) AS n_rows FROM t4 GROUP BY 1""",
     "clean_ratings_fused": _q("SELECT user_id, isbn, item_key, book_rating FROM clean"),
     "clean_books": _q("SELECT * FROM " + CLEAN_BOOKS),
     "clean_users": _q("SELECT * FROM " + CLEAN_USERS),
+    "clean_age": _q("SELECT user_id, CASE WHEN age < 6 OR age > 80 THEN NULL ELSE age END AS age FROM users"),
+    "clean_year": _q("""
+SELECT isbn, CASE WHEN year_of_publication > 2025 THEN NULL ELSE year_of_publication END AS year_of_publication
+FROM books"""),
     "zero_users": _q("SELECT user_id FROM ratings GROUP BY user_id HAVING sum(book_rating) = 0"),
     "zero_items": _q("SELECT isbn FROM ratings GROUP BY isbn HAVING sum(book_rating) = 0"),
     "drop_zero_users": _q("""
