@@ -135,3 +135,22 @@ def test_join_back_equals_plain_join(spark, big_rows, small_keys, how):
     got = sorted((tuple(r) for r in join_back(big, small, "k", how, hot).select("k", "v", "w").collect()), key=repr)
     want = sorted((tuple(r) for r in big.join(small, "k", how).select("k", "v", "w").collect()), key=repr)
     assert got == want
+
+
+@SETTINGS
+@given(
+    st.lists(
+        st.tuples(st.integers(1, 4), st.sampled_from(["001", "002", "003", "00X", "12a", "004"]), st.integers(0, 3)),
+        min_size=1,
+        max_size=30,
+    ),
+    st.lists(st.sampled_from(["", "001", "002", "00X", "12a", "004"]), min_size=1, max_size=6),
+)
+def test_fused_cleaning_equals_sequential_without_nulls_or_negatives(spark, ratings, catalogue):
+    from quire.operators import clean as C
+
+    r = spark.createDataFrame(ratings, "user_id int, isbn string, book_rating int")
+    b = spark.createDataFrame([(x,) for x in catalogue], "isbn string")
+    seq = sorted(tuple(x) for x in C.clean_ratings(r, b).collect())
+    fused = sorted(tuple(x) for x in C.clean_ratings(r, b, fused=True).collect())
+    assert seq == fused == sorted(_sequential_clean(ratings, set(catalogue)))

@@ -166,3 +166,16 @@ def test_user_ids_beyond_int_range_are_indexed_for_als(spark):
     lines = R.model_lines(model, users, lookup, k=10).collect()
     assert len(lines) == 15 and all(r["user_id"] >= big for r in lines)
     assert all(r["n_items"] == 10 for r in lines)
+
+
+def test_global_rmse_equals_regression_evaluator(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    tagged = S.hash_splits(fx.normed(spark, SF0001), k=1)
+    model = T.train_als(T.fold_frame(tagged, 1, "train"), seed=5, maxIter=5)
+    preds = T.predict(model, T.fold_frame(tagged, 1, "test"))
+    ours = E.global_rmse(preds).first()["rmse"]
+    theirs = RegressionEvaluator(metricName="rmse", labelCol="norm", predictionCol="prediction").evaluate(
+        preds.na.drop(subset=["prediction"])
+    )
+    assert abs(ours - theirs) < 1e-9
