@@ -100,3 +100,14 @@ def test_sequential_equals_fused_without_nulls(spark):
     assert a == b and len(a) == 3931
     counts = {r["rule"]: r["n_rows"] for r in C.rule_counts(C.tag_rating_rules(ratings, books)).collect()}
     assert counts == {"orphan": 320, "invalid_isbn": 446, "zero_user": 352, "zero_item": 131, "zero_rating": 202, "kept": 3931}
+
+
+def test_small_rule_sets_are_broadcast_and_ratings_not_shuffled(spark):
+    from conftest import SF0001
+    from quire.plans import fixtures as fx
+
+    tagged = C.tag_rating_rules(fx.ratings(spark, SF0001), fx.books(spark, SF0001))
+    tagged.collect()
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 3  # bad ISBNs, zero users, zero items
+    assert "SortMergeJoin" not in plan
