@@ -6,13 +6,16 @@ skew-join split does not apply to it: the aggregate's output is already
 partitioned by the key, so the join has no shuffle on that side to split, and a
 key holding a third of all rows would be joined inside one task.
 
-``join_back`` salts such keys explicitly. Keys with more than
-``total / (share * cores)`` rows are hot, where cores is the cluster's default
-parallelism (so there are at most ``share * cores`` of them, a proven bound for
-the broadcast that carries them: about 32k small rows on an 8,000-core cluster). Each hot key's rows get a salt in ``[0, n)`` from a hash of the row, and
-its single row on the aggregate side is replicated n times. The join then runs
-on (key, salt) and spreads the hot key over n tasks. Cold keys keep salt 0, and
-when nothing is hot the plain join is used.
+``join_small`` is the entry point: the aggregate side is counted and broadcast
+when within a row bound (no shuffle of the big side at all), and otherwise
+joined through ``join_back``, which salts hot keys explicitly. Keys with more
+than ``total / (share * cores)`` rows are hot, where cores is the cluster's
+default parallelism (so there are at most ``share * cores`` of them, a proven
+bound for the broadcast that carries them: about 32k small rows on an
+8,000-core cluster). Each hot key's rows get a salt in ``[0, n)`` from a hash of
+the row, and its single row on the aggregate side is replicated n times. The
+join then runs on (key, salt) and spreads the hot key over n tasks. Cold keys
+keep salt 0, and when nothing is hot the plain join is used.
 """
 
 from __future__ import annotations
