@@ -31,6 +31,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize_splits(tagged: DataFrame, path: str | None = None) -> DataFrame:
+    """Write row-layout splits (``random_splits``/``hash_splits``) partitioned by
+    fold and split, and read them back; a fold read then prunes the rest."""
     spark = tagged.sparkSession
     path = path or scratch_path(spark, "splits")
     save_splits(tagged, path)
