@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode
 from .common import read
+from .decontaminate import contamination
 from .line_dedup import line_dedup
+from .ngram_join import ngram_join
 from .quality_rules import quality_rules
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +32,15 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join(docs, size=4, percent=85)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules(docs).drop("text", "lang")
@@ -38,6 +49,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_line_dedup": op3_line_dedup,
+    "op6_decontamination": op6_decontamination,
+    "op7_ngram_join": op7_ngram_join,
     "op8_quality_rules": op8_quality_rules,
 }
 
