@@ -10,10 +10,30 @@ from .bpe import bpe_decode, bpe_encode
 from .common import read
 from .decontaminate import contamination
 from .line_dedup import line_dedup
+from .lm_score import cross_entropy_difference, with_target
 from .ngram_join import ngram_join
+from .preference import neighbours, preference_pairs, turns_of
+from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
+from .surrogates import replace_personal_data
+from .url_filter import url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: Key of the surrogates in op1; a user passes their own secret.
+KEY = "an example key"
+#: Fixed values of op10's contract.
+RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_personal_data(docs, KEY)
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -32,6 +52,16 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source is the host, the language within it the path."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return quality_classifier(docs, read(spark, sf_dir, "labels"), host="source", path="lang").drop("text")
+
+
+def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference_pairs(neighbours(turns_of(read(spark, sf_dir, "conversations"))))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -46,12 +76,28 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs).drop("text", "lang")
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled as of quality; background: all documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = with_target(docs, read(spark, sf_dir, "labels"), "quality = 1")
+    return cross_entropy_difference(docs, "is_target").drop("text")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(read(spark, sf_dir, "pages"), RULES).drop("url", "html")
+
+
 QUERIES = {
+    "op1_surrogates": op1_surrogates,
     "op2_bpe": op2_bpe,
     "op3_line_dedup": op3_line_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_preference": op5_preference,
     "op6_decontamination": op6_decontamination,
     "op7_ngram_join": op7_ngram_join,
     "op8_quality_rules": op8_quality_rules,
+    "op9_lm_score": op9_lm_score,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLE = {
