@@ -25,7 +25,7 @@ from .common import append_columns, texts_of
 
 LONG_WORD = 128
 #: Words that a worker remembers; it starts anew when full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 #: Fixed value: how byte-level BPE splits a text before the merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 
