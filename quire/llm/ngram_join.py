@@ -9,8 +9,10 @@
    bitmaps, the range of sizes and the most tokens that share a bit. The dual traversal
    drops a pair of nodes if even the largest overlap that bitmaps and sizes allow is too
    small, or if all sets below are linked already; pairs at the leaves are verified exactly.
-   A family of more shingles than TILE_SHINGLES is dealt into tiles; neighbouring tiles
-   are joined first, and other pairs of tiles only where that has left several components.
+   A family of more shingles than TILE_SHINGLES is first divided by the same argument with
+   the rarest shingles first, which passages that many texts quote do not survive. What
+   is still as large is dealt into tiles; neighbouring tiles are joined first, and other
+   pairs of tiles only where that has left several components.
 
 Links are not expanded into all pairs: what is kept of a component is a spanning forest.
 """
@@ -26,13 +28,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.skew import join_small
+from quire.operators.skew import hot_keys, join_back, join_small
 
 from .common import materialize, ship, texts_of
 from .components import connected_components
 from .shingles import shingle_set, word_hashes
 
-TILE_SHINGLES = 1_500_000
+TILE_SHINGLES = 1_000_000
+#: Rows whose sets are held at once.
+ROWS = 512
+#: One in so many shingles is in a prefix beyond what one shared shingle asks for.
+SPARE = 7
 #: Bits of a node's bitmap, sets of a leaf.
 BITS = 2048
 LEAF = 32
@@ -45,7 +51,7 @@ def overlap_of(n, percent: int):
 
 def spare_of(n):
     """Prefix shingles beyond the first shared one: as many must be shared."""
-    return np.maximum(1, n // 20)
+    return np.maximum(1, n // SPARE)
 
 
 def needed_of(n, percent: int):
@@ -61,9 +67,10 @@ def _shingled(docs: DataFrame, text: str, doc_id: str, size: int, make, schema:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(1).to_pylist()
-            sets = [shingle_set(words, size) for _, words in word_hashes(texts_of(batch, batch.schema.names[0]))]
-            yield from make(ids, sets)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                sets = [shingle_set(words, size) for _, words in word_hashes(texts_of(part, part.schema.names[0]))]
+                yield from make(part.column(1).to_pylist(), sets)
 
     return docs.select(F.col(text), F.col(doc_id)).mapInArrow(run, schema)
 
@@ -121,20 +128,22 @@ def candidate_families(docs: DataFrame, text: str, doc_id: str, size: int, perce
     rows = prefix_rows(docs, text, doc_id, size, percent)
     tokens = (
         rows.groupBy("token")
-        .agg(F.min("d1").alias("hub"), F.max("d1").alias("last"), F.count("*").alias("_n"))
-        .filter(F.col("hub") < F.col("last"))
-        .drop("last")
+        .agg(F.min("d1").alias("least"), F.max("d1").alias("last"), F.count("*").alias("_n"))
+        .filter(F.col("least") < F.col("last"))
+        .drop("least", "last")
     )
     tokens = materialize(tokens, "shared-shingles")
-    shared = join_small(rows, tokens.drop("_n"), "token", "inner", counts=lambda: tokens.select("token", "_n"))
-    shared = materialize(shared.select("token", "d1", "n", "hub"), "shared-rows")
-    # Copies in other batches give a row more than once.
-    once = shared.groupBy("d1", "n", "token").agg(F.min("hub").alias("hub"))
-    over = F.greatest(F.lit(1), F.floor(F.floor((F.lit(percent) * F.col("n") + 99) / 100) / 20))
-    able = once.groupBy("d1", "n").agg(F.count("*").alias("_k")).filter(F.col("_k") >= over).select("d1")
-    able = materialize(able.distinct(), "able")
-    stars = join_small(shared.select("d1", "hub").distinct(), able, "d1", "inner", counts=None)
-    labels = connected_components(stars.select(F.col("d1").alias("a"), F.col("hub").alias("b")))
+    shared = join_back(rows, tokens, "token", "inner", hot_keys(tokens, "token", "_n"))
+    # Linked sets share as many prefix shingles as needed; the rarest of these is among all
+    # but the last needed - 1 of either set's prefix, rarest first. Only these connect.
+    needed = F.greatest(F.lit(1), F.floor(F.floor((F.lit(percent) * F.col("n") + 99) / 100) / SPARE)).cast("int")
+    own = shared.groupBy("d1", "n").agg(F.sort_array(F.collect_set(F.struct("_n", "token"))).alias("tokens"))
+    heads = own.withColumn("first", F.size("tokens") - needed + 1).filter("first > 0")
+    heads = materialize(heads.select("d1", F.explode(F.slice("tokens", F.lit(1), F.col("first"))).alias("t")).select("d1", "t.token"), "heads")
+    able = heads.select("d1").distinct()
+    hubs = heads.groupBy("token").agg(F.min("d1").alias("hub"), F.count("*").alias("_n")).filter("_n > 1")
+    stars = join_small(heads, hubs.select("token", "hub"), "token", "inner", counts=lambda: hubs.select("token", "_n"))
+    labels = connected_components(stars.select(F.col("d1").alias("a"), F.col("hub").alias("b")).distinct())
     families = able.join(labels.withColumnRenamed("node", "d1"), "d1", "left").select("d1", F.coalesce("label", "d1").alias("family"))
     alone = families.groupBy("family").agg(F.count("*").alias("_k")).filter("_k > 1").select("family")
     return materialize(families.join(alone, "family"), "families")
@@ -227,36 +236,77 @@ def _join_group(percent: int):
     return run
 
 
+def divided(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, family) of sets (id, shingles), families by the rarest shingles: ordered by
+    the number of sets that hold them, linked sets share one of their first
+    n - overlap_of(n) + 1. Sets that share none are left out."""
+
+    def explode(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                blobs = batch.column(1).slice(at, ROWS).to_pylist()
+                sizes = np.array([len(b) // 8 for b in blobs], dtype=np.int64)
+                ids = np.array(batch.column(0).slice(at, ROWS).to_pylist(), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(b"".join(blobs), dtype=np.int64)), pa.array(np.repeat(ids, sizes)), pa.array(np.repeat(sizes, sizes))],
+                    ["token", "id", "n"],
+                )
+
+    rows = sets.select("id", "shingles").mapInArrow(explode, "token long, id long, n long")
+    held = materialize(rows.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"), "held-shingles")
+    shared = join_back(rows, held, "token", "inner", hot_keys(held, "token", "df"))
+    own = shared.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
+    # Shingles that no other set holds come first, and link nothing.
+    first = F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100) + 1 - (F.col("n") - F.size("tokens"))
+    heads = own.filter(first > 0).select("id", F.explode(F.slice("tokens", F.lit(1), first.cast("int"))).alias("t")).select("id", "t.token")
+    heads = materialize(heads, "rare-shingles")
+    hubs = heads.groupBy("token").agg(F.min("id").alias("hub"), F.count("*").alias("_n")).filter("_n > 1")
+    edges = join_small(heads, hubs.select("token", "hub"), "token", "inner", counts=lambda: hubs.select("token", "_n"))
+    labels = connected_components(edges.select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    ends = labels.select(F.col("label").alias("node"), "label").distinct()
+    return labels.unionByName(ends).select(F.col("node").alias("id"), F.col("label").alias("family"))
+
+
 def class_links(docs: DataFrame, classes: DataFrame, text: str, doc_id: str, size: int, percent: int) -> DataFrame:
     """(a, b): links between classes (by their smallest id) that connect all linked ones.
     classes: id (the smallest), n, d1, d2."""
     families = candidate_families(docs, text, doc_id, size, percent)
     members = materialize(classes.join(families, "d1").select("id", "n", "family"), "members")
-    wanted = join_small(
-        docs.select(F.col(text).alias("_text"), F.col(doc_id).cast("long").alias("id")), members.select("id", "family"), "id", "inner", counts=None
-    )
-    sets = _sets(wanted, size)
+    own = docs.select(F.col(text).alias("_text"), F.col(doc_id).cast("long").alias("id"))
+    sets = _sets(join_small(own, members.select("id", "family"), "id", "inner", counts=None), size)
     sets = materialize(sets.dropDuplicates(["id"]), "sets")
-    tiles = members.groupBy("family").agg(F.ceil(F.sum("n") / TILE_SHINGLES).cast("int").alias("tiles"))
-    dealt = join_small(sets, tiles, "family", "inner", counts=lambda: members.groupBy("family").agg(F.count("*").alias("_n")))
-    dealt = materialize(dealt.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")), "tiles")
+    tiles = members.groupBy("family").agg(F.ceil(F.sum("n") / TILE_SHINGLES).cast("int").alias("tiles"), F.count("*").alias("_n"))
+    tiles = materialize(tiles, "family-tiles")
+    dealt = join_small(sets, tiles.drop("_n"), "family", "inner", counts=lambda: tiles.select("family", "_n"))
     schema = "a long, b long"
-    neighbours = F.when(F.col("tiles") == 1, F.array(F.lit(0))).when(F.col("tiles") == 2, F.array(F.lit(0))).otherwise(
-        F.array(F.col("tile"), F.pmod(F.col("tile") + 1, F.col("tiles")))
-    )
-    near = dealt.withColumn("label", F.col("id")).withColumn("pair", F.explode(neighbours))
-    links = materialize(near.groupBy("family", "pair").applyInPandas(_join_group(percent), schema), "links")
-    large = dealt.filter("tiles > 3")
+    small = dealt.filter("tiles = 1").withColumn("label", F.col("id"))
+    links = small.groupBy("family").applyInPandas(_join_group(percent), schema)
+    if tiles.filter("tiles > 1").isEmpty():
+        return materialize(links, "links")
+
+    large = materialize(dealt.filter("tiles > 1").drop("tiles", "family"), "large-families")
+    families = materialize(divided(large, percent), "divided")
+    sizes = members.select("id", "n").join(families, "id")
+    tiles = sizes.groupBy("family").agg(F.ceil(F.sum("n") / TILE_SHINGLES).cast("int").alias("tiles"), F.count("*").alias("_n"))
+    tiles = materialize(tiles.filter("_n > 1"), "divided-tiles")
+    large = join_small(large, families, "id", "inner", counts=None)
+    large = join_small(large, tiles.drop("_n"), "family", "inner", counts=lambda: tiles.select("family", "_n"))
+    large = materialize(large.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")), "tiles")
+    neighbours = F.when(F.col("tiles") <= 2, F.array(F.lit(0))).otherwise(F.array(F.col("tile"), F.pmod(F.col("tile") + 1, F.col("tiles"))))
+    near = large.withColumn("label", F.col("id")).withColumn("pair", F.explode(neighbours))
+    links = materialize(links.unionByName(near.groupBy("family", "pair").applyInPandas(_join_group(percent), schema)), "links")
+
+    large = large.filter("tiles > 3")
     if large.isEmpty():
         return links
     labels = connected_components(links).withColumnRenamed("node", "id")
-    labelled = large.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    labelled = large.select("id", "family").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     several = labelled.groupBy("family").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("family")
-    others = F.sequence(F.lit(0), F.col("tiles") - 1)
+    labelled = materialize(join_small(labelled, several, "family", "inner", counts=None).select("id", "label"), "open-labels")
     far = (
-        join_small(labelled, several, "family", "inner", counts=None)
-        .withColumn("other", F.explode(others))
-        .filter(F.pmod(F.col("other") - F.col("tile"), F.col("tiles")).between(2, F.col("tiles") - 2))
+        join_small(large, labelled, "id", "inner", counts=None)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .filter(F.pmod(F.col("other") - F.col("tile"), F.col("tiles")).between(F.lit(2), F.col("tiles") - 2))
         .withColumn("low", F.least("tile", "other"))
         .withColumn("high", F.greatest("tile", "other"))
     )
@@ -269,8 +319,10 @@ def _sets(wanted: DataFrame, size: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(words, size).tobytes() for _, words in word_hashes(texts_of(batch, "_text"))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(sets, pa.binary())], ["id", "family", "shingles"])
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                sets = [shingle_set(words, size).tobytes() for _, words in word_hashes(texts_of(part, "_text"))]
+                yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(sets, pa.binary())], ["id", "family", "shingles"])
 
     return wanted.select("_text", "id", "family").mapInArrow(run, "id long, family long, shingles binary")
 
