@@ -25,7 +25,7 @@ from .common import append_columns, texts_of
 
 LONG_WORD = 128
 #: Words that a worker remembers; it starts anew when full.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
 #: Fixed value: how byte-level BPE splits a text before the merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 
@@ -135,8 +135,9 @@ class Codec:
                 out.extend(ids)
         return out
 
-    def decode(self, ids: array) -> str:
-        return b"".join([self.bytes[i] for i in ids]).decode("utf-8", "replace")
+
+def decode(ids: array, tokens: list[bytes]) -> str:
+    return b"".join([tokens[i] for i in ids]).decode("utf-8", "replace")
 
 
 _CODECS: dict[tuple[str, str], Codec] = {}
@@ -155,9 +156,10 @@ def _state(path: str) -> tuple:
     return Vocabulary(path).state()
 
 
-def _share(spark: SparkSession, path: str):
-    sc = spark.sparkContext
-    return (sc.applicationId, path), sc.broadcast(_state(path))
+def _share(spark: SparkSession, path: str, decode: bool = False):
+    """The cache's key and the broadcast state; decoding needs the tokens' bytes alone."""
+    sc, state = spark.sparkContext, _state(path)
+    return (sc.applicationId, path), sc.broadcast(state[2] if decode else state)
 
 
 def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -181,15 +183,15 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str =
 def bpe_decode(docs: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``docs`` with ``decoded``, the text of the packed ids; special tokens stand as their
     strings, null or empty ids give an empty text, bytes that are no UTF-8 become U+FFFD."""
-    key, shared = _share(docs.sparkSession, vocabulary)
+    _, shared = _share(docs.sparkSession, vocabulary, decode=True)
 
     def make(batch: pa.RecordBatch):
-        codec = _codec(key, shared)
+        tokens = shared.value
         out = []
         for packed in texts_of(batch, ids):
             found = array("I")
             found.frombytes(packed or b"")
-            out.append(codec.decode(found))
+            out.append(decode(found, tokens))
         return [pa.array(out, pa.string())]
 
     return append_columns(docs, [StructField(decoded, StringType())], make)
