@@ -23,15 +23,17 @@ from .common import materialize
 #: Titles by gender, and the patterns of the types, in the order of their test.
 FEMALE = r"Mrs|Ms|Miss|Mme|Mlle|Frau|Señora|Sra|г-жа"
 MALE = r"Mr|Herr|Monsieur|Señor|Sr|г-н"
+TITLE = r"(?:%s)\.?\s"
+KEYWORD = r"(?:password|passwd|secret|token|api_key)\s?[=:]\s?[\"']?"
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
-    "key": r"\bAKIA[0-9A-Z]{16}\b",
-    "secret": r"(?<=\b(?:password|passwd|secret|token|api_key)\s?[=:]\s?[\"']?)[^\s\"']{6,}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    "key": r"(?<![\p{L}\p{N}])AKIA[0-9A-Z]{16}(?![\p{L}\p{N}])",
+    "secret": rf"(?<![\p{{L}}\p{{N}}]){KEYWORD}[^\s\"']{{6,}}",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "female": rf"(?<=\b(?:{FEMALE})\.?\s)\p{{Lu}}\p{{L}}+(?:\s\p{{Lu}}\p{{L}}+)?",
-    "male": rf"(?<=\b(?:{MALE})\.?\s)\p{{Lu}}\p{{L}}+(?:\s\p{{Lu}}\p{{L}}+)?",
+    "female": rf"(?<!\p{{L}}){TITLE % FEMALE}\p{{Lu}}\p{{L}}+(?:\s\p{{Lu}}\p{{L}}+)?",
+    "male": rf"(?<!\p{{L}}){TITLE % MALE}\p{{Lu}}\p{{L}}+(?:\s\p{{Lu}}\p{{L}}+)?",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Syllables of invented names, by script.
@@ -41,22 +43,21 @@ MAX_DRAWS = 40
 
 
 def entity_table(mentions: DataFrame) -> DataFrame:
-    """mentions (mention, before) with type and canon."""
+    """mentions (mention) with lead (the title or keyword that stays), type and canon."""
     m = F.col("mention")
-    digits = F.regexp_replace(m, "[^0-9]", "")
-    # Names and secrets are told by what stands before them.
-    kind = (
-        F.when(m.rlike(f"^(?:{PATTERNS['email']})$"), "email")
-        .when(m.rlike("^AKIA[0-9A-Z]{16}$"), "key")
-        .when(F.col("before").rlike(r"(?:password|passwd|secret|token|api_key)\s?[=:]\s?[\"']?$"), "secret")
-        .when(F.col("before").rlike(rf"(?:^|[^\p{{L}}])(?:{FEMALE})\.?\s$"), "female")
-        .when(F.col("before").rlike(rf"(?:^|[^\p{{L}}])(?:{MALE})\.?\s$"), "male")
-        .when(m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), "ip")
-        .when(m.startswith("+") | m.rlike(r"^\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}$"), "phone")
-        .otherwise("card")
+    kind = F.lit("card")
+    for name in reversed([k for k in PATTERNS if k != "card"]):
+        kind = F.when(m.rlike(f"^(?:{PATTERNS[name]})$"), name).otherwise(kind)
+    lead = F.when(kind == "secret", F.regexp_extract(m, f"^{KEYWORD}", 0)).when(
+        kind.isin("female", "male"), F.regexp_extract(m, "^" + TITLE % f"{FEMALE}|{MALE}", 0)
     )
-    canon = F.when(kind.isin("phone", "card"), digits).when(kind.isin("key", "secret", "ip"), m).otherwise(F.lower(m))
-    return mentions.withColumns({"type": kind, "canon": canon})
+    lead = F.coalesce(lead, F.lit(""))
+    own = mentions.withColumns({"type": kind, "lead": lead})
+    own = own.withColumn("mention", F.substring("mention", F.length("lead") + 1, F.length("mention")))
+    digits = F.regexp_replace("mention", "[^0-9]", "")
+    t = F.col("type")
+    canon = F.when(t.isin("phone", "card"), digits).when(t.isin("key", "secret", "ip"), F.col("mention")).otherwise(F.lower("mention"))
+    return own.withColumn("canon", canon)
 
 
 def _hex(key: str, part: str) -> Column:
@@ -156,19 +157,18 @@ def replace_personal_data(docs: DataFrame, key: str, text: str = "text") -> Data
         *columns, F.col(text).alias("_text"), F.coalesce(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)), F.array().cast("array<string>")).alias("_found")
     )
     clean = found.filter(F.size("_found") == 0).select(*columns, F.col("_text").alias(text), F.lit(0).cast("long").alias("n_entities"))
-    # The gaps' ends tell names and secrets apart.
-    marked = found.filter(F.size("_found") > 0).withColumn("_gaps", F.split("_text", ENTITY)).drop("_text")
-    before = F.transform("_gaps", lambda g: F.right(g, F.lit(24)))
-    marked = marked.withColumn("_mentions", F.zip_with("_found", F.slice(before, F.lit(1), F.size("_found")), lambda m, b: F.struct(m.alias("mention"), b.alias("before"))))
-    marked = marked.withColumn("_list", F.sha2(F.to_json("_mentions"), 256)).drop("_found")
+    # Written, so that the patterns run over all texts no more often than need be.
+    marked = materialize(found.filter(F.size("_found") > 0), "marked")
+    marked = marked.withColumn("_gaps", F.split("_text", ENTITY)).drop("_text")
+    marked = marked.withColumnRenamed("_found", "_mentions").withColumn("_list", F.sha2(F.to_json("_mentions"), 256))
     lists = marked.groupBy("_list").agg(F.any_value("_mentions").alias("_mentions"), F.count("*").alias("_n"))
     lists = materialize(lists, "mention-lists")
-    mentions = entity_table(lists.select("_list", F.posexplode("_mentions").alias("at", "m")).select("_list", "at", "m.mention", "m.before"))
+    mentions = entity_table(lists.select("_list", F.posexplode("_mentions").alias("at", "mention")))
     mentions = materialize(mentions, "mentions")
     entities = mentions.groupBy("type", "canon").agg(F.count("*").alias("_n"))
     new = surrogates(entities.select("type", "canon"), key)
     named = join_small(mentions, new, ["type", "canon"], "inner", counts=lambda: entities)
-    named = named.select("_list", F.struct("at", formatted(F.col("mention"), F.col("type"), F.col("surrogate")).alias("s")).alias("s"))
+    named = named.select("_list", F.struct("at", F.concat("lead", formatted(F.col("mention"), F.col("type"), F.col("surrogate"))).alias("s")).alias("s"))
     replies = named.groupBy("_list").agg(F.transform(F.sort_array(F.collect_list("s")), lambda s: s["s"]).alias("_new"))
     joined = join_small(marked, replies, "_list", "inner", counts=lambda: lists.select("_list", "_n"))
     whole = F.array_join(F.zip_with("_gaps", "_new", lambda g, s: F.concat(g, F.coalesce(s, F.lit("")))), "")
