@@ -68,25 +68,35 @@ def hash_splits(
     )
 
 
+#: Bits of a mask that are not its sign.
+MAX_FOLDS = 63
+
+
 def random_split_mask(df: DataFrame, k: int = 5, seed: int = 42, train_fraction: float = 0.8) -> DataFrame:
-    """The same k independent draws as ``random_splits``, stored as one int column
+    """The same k independent draws as ``random_splits``, stored as one bigint column
     ``test_mask`` (bit f-1 set: the row is in fold f's test split) instead of k
     copies of every row. Written once, the splits take the input's size rather
     than k times it; a fold is a filter on one bit (see ``fold_rows``)."""
+    if not 1 <= k <= MAX_FOLDS:
+        raise ValueError(f"k must be from 1 to {MAX_FOLDS}, not {k}")
     bits = [
-        F.when(F.rand(seed + f - 1) >= train_fraction, F.lit(1 << (f - 1))).otherwise(F.lit(0))
+        F.when(F.rand(seed + f - 1) >= train_fraction, _bit(f)).otherwise(F.lit(0).cast("bigint"))
         for f in range(1, k + 1)
     ]
     mask = bits[0]
     for b in bits[1:]:
         mask = mask.bitwiseOR(b)
-    return df.withColumn("test_mask", mask.cast("int"))
+    return df.withColumn("test_mask", mask)
+
+
+def _bit(fold: int | F.Column) -> F.Column:
+    shift = F.lit(fold - 1) if isinstance(fold, int) else (fold - 1).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), shift)
 
 
 def _in_test(fold: int | F.Column) -> F.Column:
     """Bit fold-1 of ``test_mask`` is set."""
-    bit = F.lit(1 << (fold - 1)) if isinstance(fold, int) else F.pow(F.lit(2), fold - 1).cast("int")
-    return F.col("test_mask").bitwiseAND(bit) != 0
+    return F.col("test_mask").bitwiseAND(_bit(fold)) != 0
 
 
 def fold_rows(tagged: DataFrame, fold: int, split: str) -> DataFrame:

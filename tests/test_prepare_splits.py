@@ -75,3 +75,17 @@ def test_mask_layout_equals_row_layout(spark):
     t = S.test_rows(masked, 5).select(*key)
     assert t.exceptAll(rows.filter("split = 'test'").select(*key)).count() == 0
     assert t.count() == rows.filter("split = 'test'").count()
+
+
+def test_split_mask_of_many_folds(spark):
+    import pytest
+
+    from quire.operators import splits
+
+    df = spark.range(2000).withColumnRenamed("id", "x")
+    masked = splits.random_split_mask(df, k=40).cache()
+    for fold in (1, 33, 40):
+        test, train = (splits.fold_rows(masked, fold, side).count() for side in ("test", "train"))
+        assert test + train == 2000 and 300 < test < 500
+    with pytest.raises(ValueError):
+        splits.random_split_mask(df, k=64)

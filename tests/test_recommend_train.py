@@ -67,6 +67,14 @@ def test_lines_micro(spark):
     assert lines[11] == (1, "Short" + "  " * 9)
 
 
+def test_lines_are_as_wide_as_asked(spark):
+    lookup = spark.createDataFrame([(i, f"{i}", f"T{i}") for i in range(30)], "item_id int, isbn string, book_title string")
+    scores = spark.createDataFrame([(1, i, float(-i)) for i in range(30)], "user_id bigint, item_id int, score double")
+    for k in (3, 20):
+        row = R.lines_for_scores(scores, lookup, k=k).first()
+        assert row["n_items"] == k and row["line"] == "  ".join(f"T{i}" for i in range(k))
+
+
 def test_lookup_dedups_catalogue(spark):
     rated = spark.createDataFrame([("0001", 0), ("0002", 1)], "isbn string, item_id int")
     books = spark.createDataFrame([("0001", "B"), ("0001", "A"), ("0003", "C")], "isbn string, book_title string")
