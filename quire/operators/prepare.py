@@ -112,7 +112,9 @@ def center_ratings(
     out: str = "norm",
     index_users: bool | str = False,
 ) -> DataFrame:
-    """Add ``user_mean`` and ``out`` = rating - user mean (NULL rating stays NULL).
+    """Add ``user_mean`` and ``out`` = rating - user mean (NULL rating stays NULL). Rows
+    without user have the mean of all such rows, as a window over the user gives, and no
+    ``user_idx``.
 
     ``index_users`` adds ``user_idx``, a dense int id per user (ids in user
     order), for ALS, which only takes int ids. It is numbered on the per-user
@@ -120,14 +122,18 @@ def center_ratings(
     users only when some id does not fit in an int.
     """
     means = user_means(ratings, user, rating)
+    without = means.filter(F.col(user).isNull()).select("user_mean").first()
     if index_users == "auto":
         lo, hi = means.agg(F.min(user), F.max(user)).first()
         index_users = lo is not None and (lo < INT_MIN or hi > INT_MAX)
     if index_users:
-        means = dense_index(means, [F.asc(user)], "user_idx").withColumn(
+        means = dense_index(means.filter(F.col(user).isNotNull()), [F.asc(user)], "user_idx").withColumn(
             "user_idx", F.col("user_idx").cast("int")
         )
     joined = join_small(ratings, means.drop("_n"), user, "inner", counts=means)
+    if without:
+        alone = ratings.filter(F.col(user).isNull()).withColumn("user_mean", F.lit(without[0]).cast("double"))
+        joined = joined.unionByName(alone, allowMissingColumns=True)
     return joined.withColumn(out, F.col(rating).cast("double") - F.col("user_mean"))
 
 

@@ -89,3 +89,15 @@ def test_split_mask_of_many_folds(spark):
         assert test + train == 2000 and 300 < test < 500
     with pytest.raises(ValueError):
         splits.random_split_mask(df, k=64)
+
+
+def test_centring_keeps_rows_without_user(spark):
+    from quire.operators.prepare import center_ratings
+
+    rows = [(1, 4), (1, 8), (None, 2), (None, 6), (2, None)]
+    df = spark.createDataFrame(rows, "user_id bigint, book_rating int")
+    for index in (False, True):
+        got = center_ratings(df, index_users=index).collect()
+        assert sorted((str(r["user_id"]), str(r["norm"])) for r in got) == [
+            ("1", "-2.0"), ("1", "2.0"), ("2", "None"), ("None", "-2.0"), ("None", "2.0"),
+        ]
