@@ -2,8 +2,8 @@
 
 The rewrite is a chain of built-in ``regexp_replace`` / ``replace`` calls on each
 line (a narrow, codegen'd projection: no shuffle). Parsing extracts the value
-tuples of each INSERT line with ``regexp_extract_all``, explodes them and reads
-each tuple with ``from_csv`` using the SQL quote as quote and escape character.
+tuples of each INSERT line with ``regexp_extract_all``, explodes them and takes each
+tuple apart into its fields in the same way.
 """
 
 from __future__ import annotations
@@ -35,9 +35,12 @@ DUMP_RULES = (
     ("\\'", "''", "text"),
 )
 
-# One parenthesised tuple of an INSERT line: quoted strings (with '' escapes) or
-# any character other than parentheses and quotes.
-TUPLE_PATTERN = r"\(((?:'(?:[^']|'')*'|[^()'])*)\)"
+# A quoted text, with '' and backslash escapes; possessive, so that a long text neither
+# backtracks nor deepens the matcher's stack.
+TEXT = r"'[^'\\]*+(?:(?:''|\\.)[^'\\]*+)*+'"
+# One parenthesised tuple, and one field of a tuple.
+TUPLE_PATTERN = rf"(?s)\(((?:[^()'\\]++|{TEXT})*+)\)"
+FIELD_PATTERN = rf"(?s)({TEXT}|[^,'\s][^,']*+)"
 
 
 def normalize_line(value: Column, rules=DUMP_RULES) -> Column:
@@ -70,6 +73,26 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace("-", "_") for c in df.columns])
 
 
+def _unquoted(token: Column) -> Column:
+    """The text that a quoted field stands for."""
+    text = F.replace(F.substring(token, F.lit(2), F.length(token) - 2), F.lit("''"), F.lit("'"))
+    plain = text
+    for letter, control in (("n", "\n"), ("r", "\r"), ("t", "\t")):
+        plain = F.regexp_replace(plain, rf"(?<!\\)((?:\\\\)*)\\{letter}", "$1" + control)
+    return F.when(text.contains("\\"), F.regexp_replace(plain, r"(?s)\\(.)", "$1")).otherwise(text)
+
+
+def _field(token: Column, kind: T.DataType) -> Column:
+    """A field's value: bare NULL is null, quoted 'NULL' a text; what is no value of its
+    type ends the job."""
+    value = F.when(token.startswith("'"), _unquoted(token)).when(F.upper(F.trim(token)) != "NULL", F.trim(token))
+    if isinstance(kind, T.StringType):
+        return value
+    cast = value.try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"no {kind.simpleString()} in the dump: "), token)).cast(kind)
+    return F.when(value.isNotNull() & cast.isNull(), bad).otherwise(cast)
+
+
 def parse_dump_rows(
     lines: DataFrame,
     table: str,
@@ -77,35 +100,35 @@ def parse_dump_rows(
     column: str = "value",
     order: str = "load_order",
 ) -> DataFrame:
-    """Typed rows of every ``INSERT ... INTO <table> VALUES (...),(...)`` line, plus
-    ``load_order`` = (line order, tuple position) for insert-or-ignore.
-
-    Run after ``normalize_dump`` so that only '' quote escapes remain.
+    """Typed rows of every ``INSERT ... INTO <table> [(columns)] VALUES (...),(...);``
+    statement, plus ``load_order`` = (line order, tuple position) for insert-or-ignore.
+    Fields stand in the schema's order, whatever columns the statement names.
+
+    A row of ``lines`` holds whole statements' text: one that does not end with ``;`` (read
+    a dump whose statements are broken over lines with ``;\n`` as line separator and put the
+    ``;`` back), one without VALUES, a tuple with another number of fields and a malformed
+    number end the job rather than lose rows. Run after ``normalize_dump`` or on raw lines;
+    raw lines are needed where a text ends in a backslash, as the rewrite takes its last
+    quote for an escaped one.
     """
-    # Plain string tests on the whole upper-cased line: cheaper than a regex with a
-    # backtracking ``.*`` and the same meaning (SQL names are case-insensitive).
-    upper = F.upper(F.col(column))
-    name = table.upper()
-    target = F.ltrim(upper).startswith("INSERT") & (
-        upper.contains(f"INTO {name} ") | upper.contains(f"INTO `{name}` ")
+    name = rf"`?\Q{table}\E`?"
+    start = rf"(?is)^\s*INSERT\s+(?:\w+\s+)*INTO\s+{name}(?=[\s(])"
+    body = rf"(?is)^\s*INSERT\s+(?:\w+\s+)*INTO\s+{name}\s*(?:\([^()]*\)\s*)?VALUES\s*(\(.*;)\s*$"
+    value = F.regexp_extract(F.col(column), body, 1)
+    whole = F.when(value != "", value).otherwise(
+        F.raise_error(F.concat(F.lit("statement is not whole: "), F.left(F.col(column), F.lit(200)))).cast("string")
     )
-    rows = lines.filter(target).select(
+    # The plain test first: cheaper than the pattern on lines of other tables.
+    named = F.upper(F.col(column)).contains(table.upper())
+    rows = lines.filter(named & F.col(column).rlike(start)).select(
         F.col(order).alias("_line"),
-        F.posexplode(F.regexp_extract_all(F.col(column), F.lit(TUPLE_PATTERN), 1)).alias(
-            "_pos", "_tuple"
-        ),
+        F.posexplode(F.regexp_extract_all(whole, F.lit(TUPLE_PATTERN), 1)).alias("_pos", "_tuple"),
     )
-    options = {
-        "quote": "'",
-        "escape": "'",
-        "nullValue": "NULL",
-        "ignoreLeadingWhiteSpace": "true",
-        "ignoreTrailingWhiteSpace": "true",
-        "mode": "PERMISSIVE",
-    }
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = rows.select(
+    found = F.regexp_extract_all(F.col("_tuple"), F.lit(FIELD_PATTERN), 1)
+    n = len(schema.fields)
+    wrong = F.raise_error(F.concat(F.lit(f"not {n} fields: "), F.col("_tuple"))).cast("array<string>")
+    fields = rows.select("_line", "_pos", F.when(F.size(found) == n, found).otherwise(wrong).alias("_f"))
+    return fields.select(
+        *[_field(F.col("_f")[i], f.dataType).alias(f.name) for i, f in enumerate(schema.fields)],
         F.struct(F.col("_line"), F.col("_pos")).alias(order),
-        F.from_csv(F.col("_tuple"), ddl, options).alias("_r"),
     )
-    return parsed.select(*[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields], order)

@@ -86,12 +86,12 @@ def top_books_of_counts(
     """``top_rated_books`` from a per-ISBN positive count table.
 
     The catalogue is reduced to one row per ISBN first (number of copies, and the
-    smallest (title, author)), so a repeated ISBN cannot pile up in one join task;
+    smallest (title, author), nulls last), so a repeated ISBN cannot pile up in one join task;
     the count is then n_ratings x copies, exactly what join-then-count gives."""
     per_book = per_book.filter(F.col("n_ratings") > 0)
     catalogue = books.groupBy(isbn).agg(
         F.count(F.lit(1)).alias("_copies"),
-        F.min(F.struct(F.col(title), F.col(author))).alias("_book"),
+        F.min(F.struct(F.isnull(title), title, F.isnull(author), author)).alias("_book"),
     )
     per_isbn = per_book.join(catalogue, isbn, "inner").select(
         isbn,

@@ -40,31 +40,22 @@ def random_splits(df: DataFrame, k: int = 5, seed: int = 42, train_fraction: flo
     )
 
 
-# Fixed values of the deterministic split: multipliers for the two keys.
-HASH_MULTIPLIERS = (7919, 104729)
-
-
 def hash_splits(
     df: DataFrame,
     k: int = 5,
     seed: int = 42,
-    keys: Sequence[str] = ("user_id", "item_key"),
-    train_buckets: int = 8,
+    keys: Sequence[str] = ("user_id", "item_id"),
+    train_fraction: float = 0.8,
 ) -> DataFrame:
-    """Fold f (1..k): rows with ``(sum(key_i * m_i) + seed + f - 1) mod 10 < train_buckets``
-    train, the rest test. Keys must be integers."""
-    base = sum(
-        (F.col(c).cast("bigint") * F.lit(m) for c, m in zip(keys, HASH_MULTIPLIERS)), F.lit(0)
-    )
-    folds = F.explode(F.array(*[F.lit(f) for f in range(1, k + 1)]))
-    return (
-        df.withColumn("fold", folds)
-        .withColumn(
-            "split",
-            F.when(
-                F.pmod(base + F.lit(seed - 1) + F.col("fold"), F.lit(10)) < train_buckets, "train"
-            ).otherwise("test"),
-        )
+    """Fold f (1..k): rows train whose md5 of "key1:key2:(seed + f - 1)", as a number in
+    [0, 1), is under ``train_fraction``; the rest test. A null key is left out of the text."""
+    seeds = F.lit(seed - 1) + F.col("fold")
+    draw = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in keys], seeds.cast("string")))
+    # Hex digits of one length compare like the numbers they write.
+    bound = f"{min(max(int(train_fraction * 2**32), 0), 2**32):08x}"
+    train = F.lit(True) if len(bound) > 8 else F.substring(draw, 1, 8) < bound
+    return df.withColumn("fold", F.explode(F.array(*[F.lit(f) for f in range(1, k + 1)]))).withColumn(
+        "split", F.when(train, "train").otherwise("test")
     )
 
 

@@ -60,13 +60,15 @@ def make_als(
 def train_als(train: DataFrame, **kwargs) -> ALSModel:
     """Fit ALS. Unless given, user and item block counts follow the cluster's
     default parallelism (ALS's own default of 10 blocks would leave most of a
-    large cluster idle and make each block's normal equations huge)."""
+    large cluster idle and make each block's normal equations huge). Rows without
+    user, item or rating teach nothing and are left out."""
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
     blocks = max(spark.sparkContext.defaultParallelism, 1)
     kwargs.setdefault("num_user_blocks", blocks)
     kwargs.setdefault("num_item_blocks", blocks)
-    return make_als(**kwargs).fit(train)
+    als = make_als(**kwargs)
+    return als.fit(train.dropna(subset=[als.getUserCol(), als.getItemCol(), als.getRatingCol()]))
 
 
 def predict(model: ALSModel, test: DataFrame) -> DataFrame:

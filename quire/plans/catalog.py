@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from quire.operators import clean as C
 from quire.operators import dump as D
@@ -247,8 +246,7 @@ def q_dump_parse(spark, d):
 
 def q_dump_parse_books(spark, d):
     lines = D.normalize_dump(fx.dump_lines(spark, d))
-    schema = StructType(schemas.BOOKS.fields[:4])
-    return D.parse_dump_rows(lines, "BX_Books", schema).drop("load_order")
+    return D.parse_dump_rows(lines, "BX_Books", schemas.BOOKS).drop("load_order")
 
 
 # ------------------------------------------------------------------ reports

@@ -90,16 +90,27 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
     return deduped.select("user_id", "isbn", "item_key", "book_rating")
 
 
-def books(spark: SparkSession, folder: str) -> DataFrame:
+def full_books(spark: SparkSession, folder: str) -> DataFrame:
+    """All columns of ``schemas.BOOKS``."""
     part = read_table(spark, folder, "part")
+    isbn = isbn_of(F.col("p_partkey"))
+    image = lambda size: F.concat(F.lit("http://images.example.org/P/"), isbn, F.lit(f".{size}.jpg"))
     return part.filter(F.col("p_partkey") % MISSING_BOOK_EVERY != 0).select(
-        isbn_of(F.col("p_partkey")).alias("isbn"),
+        isbn.alias("isbn"),
         F.col("p_name").alias("book_title"),
         F.col("p_brand").alias("book_author"),
         (F.lit(YEAR_BASE) + F.col("p_size")).cast("int").alias("year_of_publication"),
+        F.col("p_type").alias("publisher"),
+        image("S").alias("image_url_s"),
+        image("M").alias("image_url_m"),
+        image("L").alias("image_url_l"),
     )
 
 
+def books(spark: SparkSession, folder: str) -> DataFrame:
+    return full_books(spark, folder).select("isbn", "book_title", "book_author", "year_of_publication")
+
+
 def users(spark: SparkSession, folder: str) -> DataFrame:
     customer = read_table(spark, folder, "customer")
     return customer.select(
@@ -143,7 +154,9 @@ DUMP_HEADERS = (
         "BX-Books.sql",
         "CREATE TABLE `BX-Books` (`ISBN` varchar(13) NOT NULL default '', "
         "`Book-Title` varchar(255) default NULL, `Book-Author` varchar(255) default NULL, "
-        "`Year-Of-Publication` int(10) unsigned default NULL, PRIMARY KEY (`ISBN`)) "
+        "`Year-Of-Publication` int(10) unsigned default NULL, `Publisher` varchar(255) default NULL, "
+        "`Image-URL-S` varchar(255) default NULL, `Image-URL-M` varchar(255) default NULL, "
+        "`Image-URL-L` varchar(255) default NULL, PRIMARY KEY (`ISBN`)) "
         "ENGINE=MyISAM DEFAULT CHARSET=latin1;",
     ),
     (
@@ -178,18 +191,22 @@ def dump_lines(spark: SparkSession, folder: str) -> DataFrame:
             "book_rating",
         ).alias("value"),
     )
-    bk = books(spark, folder)
+    bk = full_books(spark, folder)
     book_lines = bk.select(
         F.lit("BX-Books.sql").alias("source"),
         _order(F.lit(0).cast("bigint"), F.lit(0).cast("bigint"), F.lit(0.0), F.lit(0).cast("bigint")).alias(
             "load_order"
         ),
         F.format_string(
-            "INSERT IGNORE INTO `BX-Books` VALUES ('%s','%s','%s',%d);",
+            "INSERT IGNORE INTO `BX-Books` VALUES ('%s','%s','%s',%d,'%s','%s','%s','%s');",
             "isbn",
             mysql_quote(F.col("book_title")),
             mysql_quote(F.col("book_author")),
             "year_of_publication",
+            mysql_quote(F.col("publisher")),
+            "image_url_s",
+            "image_url_m",
+            "image_url_l",
         ).alias("value"),
     )
     us = users(spark, folder)

@@ -33,6 +33,11 @@ books AS (
   SELECT {_isbn('p_partkey')} AS isbn, p_name AS book_title, p_brand AS book_author,
          CAST(1980 + p_size AS INTEGER) AS year_of_publication
   FROM part WHERE p_partkey % 17 <> 0),
+full_books AS (
+  SELECT b.*, p_type AS publisher, concat('http://images.example.org/P/', b.isbn, '.S.jpg') AS image_url_s,
+         concat('http://images.example.org/P/', b.isbn, '.M.jpg') AS image_url_m,
+         concat('http://images.example.org/P/', b.isbn, '.L.jpg') AS image_url_l
+  FROM books b JOIN part ON b.isbn = {_isbn('p_partkey')}),
 users AS (
   SELECT c_custkey AS user_id, CAST(floor(c_acctbal / 100) AS INTEGER) AS age FROM customer),
 clean AS (
@@ -47,7 +52,7 @@ normed AS (
   FROM clean c JOIN items i ON c.isbn = i.isbn
   JOIN (SELECT user_id, avg(book_rating) AS m FROM clean GROUP BY user_id) u ON c.user_id = u.user_id),
 folded AS (
-  SELECT *, CASE WHEN (user_id * 7919 + item_key * 104729 + 42) % 10 < 8 THEN 'train' ELSE 'test' END AS split
+  SELECT *, CASE WHEN left(md5(concat_ws(':', user_id, item_id, 42)), 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS split
   FROM normed),
 preds AS (
   SELECT t.*, p.pred AS prediction FROM folded t
@@ -56,7 +61,7 @@ preds AS (
   WHERE t.split = 'test'),
 folds5 AS (
   SELECT n.*, f.fold,
-         CASE WHEN (n.user_id * 7919 + n.item_key * 104729 + 41 + f.fold) % 10 < 8 THEN 'train' ELSE 'test' END AS split
+         CASE WHEN left(md5(concat_ws(':', n.user_id, n.item_id, 41 + f.fold)), 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS split
   FROM normed n CROSS JOIN (SELECT CAST(range AS INTEGER) AS fold FROM range(1, 6)) f),
 cross_preds AS (
   SELECT t.*, m.model, m.prediction FROM folds5 t
@@ -102,10 +107,11 @@ dump AS (
   FROM raw
   UNION ALL
   SELECT 'BX-Books.sql',
-         printf('INSERT IGNORE INTO `BX-Books` VALUES (''%s'',''%s'',''%s'',%d);', isbn,
+         printf('INSERT IGNORE INTO `BX-Books` VALUES (''%s'',''%s'',''%s'',%d,''%s'',''%s'',''%s'',''%s'');', isbn,
                 replace(replace(book_title, '\\', '\\\\'), '''', '\\'''),
-                replace(replace(book_author, '\\', '\\\\'), '''', '\\'''), year_of_publication)
-  FROM books
+                replace(replace(book_author, '\\', '\\\\'), '''', '\\'''), year_of_publication,
+                replace(replace(publisher, '\\', '\\\\'), '''', '\\'''), image_url_s, image_url_m, image_url_l)
+  FROM full_books
   UNION ALL
   SELECT 'BX-Users.sql', printf('INSERT IGNORE INTO `BX-Users` VALUES (%d,%s);', user_id,
          coalesce(CAST(age AS VARCHAR), 'NULL'))
@@ -113,7 +119,7 @@ dump AS (
   UNION ALL
   SELECT * FROM (VALUES
     ('BX-Book-Ratings.sql', 'CREATE TABLE `BX-Book-Ratings` (`User-ID` int(11) NOT NULL default ''0'', `ISBN` varchar(13) NOT NULL default '''', `Book-Rating` int(11) NOT NULL default ''0'', PRIMARY KEY (`User-ID`,`ISBN`)) ENGINE=MyISAM DEFAULT CHARSET=latin1;'),
-    ('BX-Books.sql', 'CREATE TABLE `BX-Books` (`ISBN` varchar(13) NOT NULL default '''', `Book-Title` varchar(255) default NULL, `Book-Author` varchar(255) default NULL, `Year-Of-Publication` int(10) unsigned default NULL, PRIMARY KEY (`ISBN`)) ENGINE=MyISAM DEFAULT CHARSET=latin1;'),
+    ('BX-Books.sql', 'CREATE TABLE `BX-Books` (`ISBN` varchar(13) NOT NULL default '''', `Book-Title` varchar(255) default NULL, `Book-Author` varchar(255) default NULL, `Year-Of-Publication` int(10) unsigned default NULL, `Publisher` varchar(255) default NULL, `Image-URL-S` varchar(255) default NULL, `Image-URL-M` varchar(255) default NULL, `Image-URL-L` varchar(255) default NULL, PRIMARY KEY (`ISBN`)) ENGINE=MyISAM DEFAULT CHARSET=latin1;'),
     ('BX-Users.sql', 'CREATE TABLE `BX-Users` (`User-ID` int(11) NOT NULL default ''0'', `Age` int(11) default NULL, PRIMARY KEY (`User-ID`)) ENGINE=MyISAM DEFAULT CHARSET=latin1;')
   ) h(source, value)),
 dump_norm AS (
@@ -195,7 +201,8 @@ t4 AS (SELECT user_id, isbn, book_rating,
 ORACLE: dict[str, str] = {
     "top_books": _q("""
 SELECT CAST(row_number() OVER (ORDER BY n_ratings DESC, isbn) AS INTEGER) AS rank, isbn, book_title, book_author, n_ratings
-FROM (SELECT r.isbn, min(b.book_title) AS book_title, min(b.book_author) AS book_author, count(r.book_rating) AS n_ratings
+FROM (SELECT r.isbn, first(b.book_title ORDER BY b.book_title NULLS LAST, b.book_author NULLS LAST) AS book_title,
+        first(b.book_author ORDER BY b.book_title NULLS LAST, b.book_author NULLS LAST) AS book_author, count(r.book_rating) AS n_ratings
       FROM ratings r JOIN books b ON r.isbn = b.isbn WHERE r.book_rating > 0 GROUP BY r.isbn
       ORDER BY n_ratings DESC, isbn LIMIT 10)"""),
     "top_users": _q("""
@@ -282,7 +289,7 @@ ORDER BY md5(CAST(user_id AS VARCHAR) || ':42'), user_id LIMIT 250"""),
 SELECT source, CAST(sum(CASE WHEN upper(value) LIKE '%INSERT%' THEN 1 ELSE 0 END) AS BIGINT) AS n_insert_lines
 FROM dump_norm GROUP BY source"""),
     "dump_parse": _q("SELECT user_id, isbn, book_rating FROM ratings"),
-    "dump_parse_books": _q("SELECT isbn, book_title, book_author, year_of_publication FROM books"),
+    "dump_parse_books": _q("SELECT * FROM full_books"),
     "basics_report": _q(
         "SELECT * FROM (" + _basics(CLEAN_USERS, CLEAN_BOOKS, "clean") + ")"
     ),
@@ -304,7 +311,7 @@ SELECT '6.b', 1, CAST(round(bin / 0.25) AS BIGINT), printf('%.2f  %-8d %-8d', bi
       SELECT sqrt(avg((norm - prediction) * (norm - prediction))) AS r FROM preds GROUP BY item_id))
   GROUP BY bin)
 UNION ALL
-SELECT '6.c UBCF', 1, user_id, printf('%s  %d  %s', CAST(user_id AS VARCHAR), n_items, line) FROM rec_lines
+SELECT '6.c UBCF', 1, user_id, printf('%s  %s', CAST(user_id AS VARCHAR), line) FROM rec_lines
 UNION ALL SELECT * FROM (VALUES
   ('6.b', 0, 0, '6.b) histogram of RMSE <table(bin, num occurrences UBCF, num occurrences IBCF)>'),
   ('6.b', 0, 1, 'RMSE'),

@@ -61,9 +61,11 @@ MODEL_FIXED_LINES = (
     ("6.b", 0, 2, "      N.UBCF   N.IBCF"),
     ("6.c", 0, 0, "6.c) Top-10 recommendations   <table(user,book1,book2,book3, ..., book10)>"),
 )
-RMSE_LINE = "6.a) RMSE of the full model UB %.6f, IB %.6f"
+RMSE_LINE = "6.a) RMSE of the full model UB %s, IB %s"
+RMSE_VALUE = "%.6f"
 RMSE_HIST_ROW = "%.2f  %-8d %-8d"
-REC_ROW = "%s  %d  %s"
+REC_ROW = "%s  %s"
+MISSING = "NA"
 
 REPORT_SCHEMA = "section string, part int, key bigint, line string"
 
@@ -72,6 +74,14 @@ def _fixed(spark: SparkSession, rows) -> DataFrame:
     return spark.createDataFrame(list(rows), REPORT_SCHEMA)
 
 
+def _text(column: str):
+    return F.coalesce(F.col(column).cast("string"), F.lit(MISSING))
+
+
+def _number(column: str):
+    return F.when(F.col(column).isNull(), MISSING).otherwise(F.format_string(RMSE_VALUE, column))
+
+
 def _lines(df: DataFrame, section: str, key, line) -> DataFrame:
     return df.select(
         F.lit(section).alias("section"),
@@ -119,9 +129,9 @@ def basics_report(
     parts = count_parts + [
         _lines(hist_u, "3.d", F.col("bin"), F.format_string(HIST_ROW, "bin", "n")),
         _lines(hist_b, "3.e", F.col("bin"), F.format_string(HIST_ROW, "bin", "n")),
-        _lines(tb, "3.f", F.col("rank"), F.format_string(BOOK_ROW, "book_title", "n_ratings")),
+        _lines(tb, "3.f", F.col("rank"), F.format_string(BOOK_ROW, _text("book_title"), "n_ratings")),
         _lines(
-            tu, "3.g", F.col("rank"), F.format_string(USER_ROW, F.col(user).cast("string"), "n_ratings")
+            tu, "3.g", F.col("rank"), F.format_string(USER_ROW, _text(user), "n_ratings")
         ),
         _fixed(spark, FIXED_LINES),
     ]
@@ -160,7 +170,7 @@ def model_report(
         F.lit("6.a").alias("section"),
         F.lit(1).alias("part"),
         F.lit(0).cast("bigint").alias("key"),
-        F.format_string(RMSE_LINE, "ub", "ib").alias("line"),
+        F.format_string(RMSE_LINE, _number("ub"), _number("ib")).alias("line"),
     )
     hist = rmse_histogram_table(preds, user, item, label, width=width, by=by)
     hist_lines = _lines(
@@ -173,7 +183,7 @@ def model_report(
         F.concat(F.lit("6.c "), F.col("method")).alias("section"),
         F.lit(1).alias("part"),
         F.col(user).cast("bigint").alias("key"),
-        F.format_string(REC_ROW, F.col(user).cast("string"), F.col("n_items"), F.col("line")).alias("line"),
+        F.format_string(REC_ROW, _text(user), F.col("line")).alias("line"),
     )
     return head.unionByName(hist_lines).unionByName(rec_lines).unionByName(_fixed(spark, MODEL_FIXED_LINES))
 

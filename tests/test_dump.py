@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql.types import StructType
 
 from quire import schemas
@@ -81,3 +82,30 @@ def test_dump_files_round_trip_to_the_ratings_table(spark, tmp_dir):
     want = fx.ratings(spark, SF0001).select("user_id", "isbn", "book_rating")
     assert got.count() == want.count() == 5382
     assert got.exceptAll(want).count() == 0
+
+
+def _parsed(spark, *texts):
+    lines = spark.createDataFrame(list(enumerate(texts)), "load_order bigint, value string")
+    rows = D.parse_dump_rows(lines, "t", StructType.fromDDL("a int, b string"))
+    return sorted((tuple(r)[:2] for r in rows.collect()), key=str)
+
+
+def test_parse_forms_of_insert(spark):
+    want = [(1, "x, (y)"), (2, None)]
+    assert _parsed(spark, "INSERT INTO t VALUES (1,'x, (y)'),(2,NULL);") == want
+    assert _parsed(spark, "insert into `t`(`a`,`b`) values (1, 'x, (y)'), (2, null);") == want
+    assert _parsed(spark, "INSERT IGNORE INTO t (a, b)\nVALUES\n(1,'x, (y)'),\n(2,NULL) ;") == want
+    assert _parsed(spark, "INSERT INTO tt VALUES (1,'x');", "-- t") == []
+
+
+def test_parse_quotes_and_escapes(spark):
+    got = _parsed(spark, r"INSERT INTO t VALUES (1,'NULL'),(2,'a\\b'),(3,'it\'s'),(4,'it''s'),(5,''),(6,'a\nb'),(7,'c:\\');")
+    assert got == [(1, "NULL"), (2, "a\\b"), (3, "it's"), (4, "it's"), (5, ""), (6, "a\nb"), (7, "c:\\")]
+    long_ = "it''s (so), " * 20000
+    assert _parsed(spark, f"INSERT INTO t VALUES (1,'{long_}');") == [(1, long_.replace("''", "'"))]
+
+
+def test_parse_refuses_what_it_would_lose(spark):
+    for text in ("INSERT INTO t VALUES (1,'x'),", "INSERT INTO t VALUES ('x1','x');", "INSERT INTO t VALUES (1,'x',2);"):
+        with pytest.raises(Exception, match="statement is not whole|no int in the dump|not 2 fields"):
+            _parsed(spark, text)

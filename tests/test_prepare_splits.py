@@ -101,3 +101,13 @@ def test_centring_keeps_rows_without_user(spark):
         assert sorted((str(r["user_id"]), str(r["norm"])) for r in got) == [
             ("1", "-2.0"), ("1", "2.0"), ("2", "None"), ("None", "-2.0"), ("None", "2.0"),
         ]
+
+
+def test_hash_split_of_a_class_of_keys_is_mixed(spark):
+    """Keys of one remainder are on both sides, in about the asked share."""
+    keys = spark.range(4000).selectExpr("id * 10 AS user_id", "cast(id % 7 * 10 AS int) AS item_id")
+    tagged = S.hash_splits(keys, k=2)
+    for f in (1, 2):
+        assert 0.77 < tagged.filter(f"fold = {f} AND split = 'train'").count() / 4000 < 0.83
+    assert S.hash_splits(keys, k=1, train_fraction=1.0).filter("split = 'test'").isEmpty()
+    assert S.hash_splits(keys, k=1, train_fraction=0.0).filter("split = 'train'").isEmpty()

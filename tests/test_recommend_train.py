@@ -187,3 +187,18 @@ def test_global_rmse_equals_regression_evaluator(spark):
         preds.na.drop(subset=["prediction"])
     )
     assert abs(ours - theirs) < 1e-9
+
+
+def test_top_books_prefer_a_title_that_is_there(spark):
+    from quire.operators.profile import top_rated_books
+
+    ratings = spark.createDataFrame([(1, "a", 5)], "user_id bigint, isbn string, book_rating int")
+    books = spark.createDataFrame([("a", None, "A"), ("a", "T", None), ("a", "T", "B")], "isbn string, book_title string, book_author string")
+    row = top_rated_books(ratings, books).collect()[0]
+    assert (row["book_title"], row["book_author"], row["n_ratings"]) == ("T", "B", 3)
+
+
+def test_rows_without_rating_do_not_train(spark):
+    rows = spark.createDataFrame([(1, 1, 1.0), (2, 2, 2.0), (1, 2, None), (None, 1, 1.0)], "user_id int, item_id int, norm double")
+    model = T.train_als(rows, rank=2, maxIter=1)
+    assert model.userFactors.count() == 2 and model.itemFactors.count() == 2
