@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.bpe import bpe_decode, bpe_encode
+from quire.llm.bpe import bpe_round_trip
 from quire.llm.common import materialize, read
 from quire.llm.decontaminate import decontaminate
 from quire.llm.line_dedup import line_dedup
@@ -49,7 +49,7 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as token ids; round_trip tells whether they decode to the text."""
-    coded = bpe_decode(bpe_encode(docs, VOCABULARY), VOCABULARY)
+    coded = bpe_round_trip(docs, VOCABULARY)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return coded.select("doc_id", "lang", "source", "n_tokens", "ids", same.alias("round_trip"))
 

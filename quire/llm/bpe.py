@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 import json
 from array import array
+from collections.abc import Iterable
 from functools import cache
 
 import pyarrow as pa
@@ -169,29 +170,48 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str =
     key, shared = _share(docs.sparkSession, vocabulary)
 
     def make(batch: pa.RecordBatch):
-        codec = _codec(key, shared)
-        packed, n = [], []
-        for t in batch.column(batch.schema.get_field_index(text)).to_pylist():
-            found = codec.encode(t) if t else array("I")
-            n.append(len(found))
-            packed.append(found.tobytes())
-        return [pa.array(packed, pa.binary()), pa.array(n, pa.int64())]
+        return _encoded(batch, text, _codec(key, shared))
 
     return append_columns(docs, [StructField(ids, BinaryType()), StructField("n_tokens", LongType())], make)
 
 
+def _encoded(batch: pa.RecordBatch, text: str, codec: Codec) -> list[pa.Array]:
+    packed, n = [], []
+    for t in batch.column(batch.schema.get_field_index(text)).to_pylist():
+        found = codec.encode(t) if t else array("I")
+        n.append(len(found))
+        packed.append(found.tobytes())
+    return [pa.array(packed, pa.binary()), pa.array(n, pa.int64())]
+
+
+def _decoded(packed: Iterable[bytes | None], tokens: list[bytes]) -> pa.Array:
+    out = []
+    for ids in packed:
+        found = array("I")
+        found.frombytes(ids or b"")
+        out.append(decode(found, tokens))
+    return pa.array(out, pa.string())
+
+
 def bpe_decode(docs: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``docs`` with ``decoded``, the text of the packed ids; special tokens stand as their
     strings, null or empty ids give an empty text, bytes that are no UTF-8 become U+FFFD."""
     _, shared = _share(docs.sparkSession, vocabulary, decode=True)
 
     def make(batch: pa.RecordBatch):
-        tokens = shared.value
-        out = []
-        for packed in texts_of(batch, ids):
-            found = array("I")
-            found.frombytes(packed or b"")
-            out.append(decode(found, tokens))
-        return [pa.array(out, pa.string())]
+        return [_decoded(texts_of(batch, ids), shared.value)]
 
     return append_columns(docs, [StructField(decoded, StringType())], make)
+
+
+def bpe_round_trip(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``bpe_decode(bpe_encode(docs))`` in one pass: a task keeps one Python worker, not two."""
+    key, shared = _share(docs.sparkSession, vocabulary)
+
+    def make(batch: pa.RecordBatch):
+        codec = _codec(key, shared)
+        packed, n = _encoded(batch, text, codec)
+        return [packed, n, _decoded(packed.to_pylist(), codec.bytes)]
+
+    fields = [StructField(ids, BinaryType()), StructField("n_tokens", LongType()), StructField(decoded, StringType())]
+    return append_columns(docs, fields, make)

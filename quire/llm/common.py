@@ -27,6 +27,9 @@ from quire.session import ensure_checkpoint_dir
 #: Text bytes that one vectorised step works on; a longer text is one step of its own.
 SLICE_BYTES = 1 << 20
 
+#: Rows that a worker turns into Python objects at once.
+STEP_ROWS = 512
+
 #: Words are runs of anything but these ASCII characters (also what bytes.split() splits at).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -94,8 +97,8 @@ def append_columns(
     fields: Sequence[StructField],
     make: Callable[[pa.RecordBatch], Sequence[pa.Array]],
 ) -> DataFrame:
-    """``df`` with ``fields`` appended; ``make`` returns their arrays for an Arrow batch.
-    Runs where the rows are: no shuffle."""
+    """``df`` with ``fields`` appended; ``make`` returns their arrays for an Arrow batch of
+    at most STEP_ROWS rows. Runs where the rows are: no shuffle."""
     ship(df.sparkSession)
     new = {f.name.lower() for f in fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in new]
@@ -103,7 +106,9 @@ def append_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            old = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays([*old, *make(batch)], names + [f.name for f in fields])
+            for at in range(0, batch.num_rows, STEP_ROWS):
+                part = batch.slice(at, STEP_ROWS)
+                old = [part.column(part.schema.get_field_index(n)) for n in names]
+                yield pa.RecordBatch.from_arrays([*old, *make(part)], names + [f.name for f in fields])
 
     return df.mapInArrow(run, StructType([*kept, *fields]))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import bpe_decode, bpe_encode
+from .bpe import bpe_round_trip
 from .common import read
 from .decontaminate import contamination
 from .line_dedup import line_dedup
@@ -38,8 +38,7 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe_encode(docs, vocabulary).drop("text")
-    return bpe_decode(coded, vocabulary).select(
+    return bpe_round_trip(docs, vocabulary).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

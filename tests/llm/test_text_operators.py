@@ -9,7 +9,7 @@ import pytest
 from conftest import SF0001
 
 from quire.llm import mph
-from quire.llm.bpe import Codec, Vocabulary, bpe_decode, bpe_encode, merge_long, merge_short
+from quire.llm.bpe import Codec, Vocabulary, bpe_decode, bpe_encode, bpe_round_trip, merge_long, merge_short
 from quire.llm.decontaminate import contamination, decontaminate
 from quire.llm.line_dedup import line_dedup
 from quire.llm.quality_rules import base_counts, quality_rules
@@ -120,6 +120,8 @@ def test_bpe_equals_library(spark, frame):
         assert list(array.array("I", bytes(r["ids"]))) == ids and r["n_tokens"] == len(ids)
         assert r["decoded"] == library.decode(ids, skip_special_tokens=False)
     assert bpe_encode(frame([]), PATH).count() == 0
+    many = frame(rows * 300)  # more rows than one step takes
+    assert sorted(map(str, bpe_round_trip(many, PATH).collect())) == sorted(map(str, bpe_decode(bpe_encode(many, PATH), PATH).collect()))
 
 
 def test_long_words_take_the_same_merges():
