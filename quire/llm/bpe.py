@@ -145,13 +145,17 @@ _CODECS: dict[tuple[str, str], Codec] = {}
 
 
 def _codec(key: tuple[str, str], shared) -> Codec:
-    """One per worker process and vocabulary: its words are kept from task to task."""
+    """One per task and vocabulary: ``_forget`` ends it, else idle workers would hold its words."""
     if key not in _CODECS:
         _CODECS.clear()
         _CODECS[key] = Codec(shared.value)
     return _CODECS[key]
 
 
+def _forget() -> None:
+    _CODECS.clear()
+
+
 @cache
 def _state(path: str) -> tuple:
     return Vocabulary(path).state()
@@ -172,7 +176,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str =
     def make(batch: pa.RecordBatch):
         return _encoded(batch, text, _codec(key, shared))
 
-    return append_columns(docs, [StructField(ids, BinaryType()), StructField("n_tokens", LongType())], make)
+    return append_columns(docs, [StructField(ids, BinaryType()), StructField("n_tokens", LongType())], make, _forget)
 
 
 def _encoded(batch: pa.RecordBatch, text: str, codec: Codec) -> list[pa.Array]:
@@ -214,4 +218,4 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str, text: str = "text", ids: st
         return [packed, n, _decoded(packed.to_pylist(), codec.bytes)]
 
     fields = [StructField(ids, BinaryType()), StructField("n_tokens", LongType()), StructField(decoded, StringType())]
-    return append_columns(docs, fields, make)
+    return append_columns(docs, fields, make, _forget)

@@ -11,6 +11,7 @@ Conventions that hold for every operator here:
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -92,23 +93,38 @@ def slices(texts: Sequence[bytes | None], limit: int = SLICE_BYTES) -> Iterator[
         yield range(start, len(texts))
 
 
+def give_back() -> None:
+    """Unused memory to the system: Spark keeps idle Python workers beside the next ones."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)
+
+
 def append_columns(
     df: DataFrame,
     fields: Sequence[StructField],
     make: Callable[[pa.RecordBatch], Sequence[pa.Array]],
+    done: Callable[[], None] | None = None,
 ) -> DataFrame:
     """``df`` with ``fields`` appended; ``make`` returns their arrays for an Arrow batch of
-    at most STEP_ROWS rows. Runs where the rows are: no shuffle."""
+    at most STEP_ROWS rows. Runs where the rows are: no shuffle. ``done`` is called at the
+    end of each task."""
     ship(df.sparkSession)
     new = {f.name.lower() for f in fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in new]
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, STEP_ROWS):
-                part = batch.slice(at, STEP_ROWS)
-                old = [part.column(part.schema.get_field_index(n)) for n in names]
-                yield pa.RecordBatch.from_arrays([*old, *make(part)], names + [f.name for f in fields])
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, STEP_ROWS):
+                    part = batch.slice(at, STEP_ROWS)
+                    old = [part.column(part.schema.get_field_index(n)) for n in names]
+                    yield pa.RecordBatch.from_arrays([*old, *make(part)], names + [f.name for f in fields])
+        finally:
+            if done:
+                done()
+            give_back()
 
     return df.mapInArrow(run, StructType([*kept, *fields]))
