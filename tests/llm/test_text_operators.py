@@ -188,3 +188,21 @@ def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
     entities = spark.createDataFrame([("email", f"e{i}") for i in range(8)] + [("email", "v3")], "type string, canon string")
     rows = module.surrogates(entities, "k").collect()
     assert len({r["surrogate"] for r in rows}) == 9 and "v3" not in {r["surrogate"] for r in rows}
+
+
+def test_small_languages_have_their_own_band(spark, frame):
+    """24 texts in other letters beside 20 small languages in Latin ones: theirs stay, noise among them goes; a
+    language of 3 texts has no band."""
+    long_ = [r["text"] for r in documents(spark).collect() if len((r["text"] or "").split()) >= 60 and not brute_base(r["text"])[5]]
+    other = str.maketrans("abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопярстувьжыз")
+    greek = str.maketrans("abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψωςά")
+    plain = [t[:1500] for t in long_]
+    rows = [(i, f"{plain[i % len(plain)]} number {i}", f"l{i % 20}") for i in range(600)]
+    rows += [(1000 + i, plain[i].lower().translate(other), "xx") for i in range(24)]
+    rows += [(2000 + i, plain[30 + i].lower().translate(greek), "yy") for i in range(3)]
+    noise = " ".join(f"{'#$%&'[i % 4] * 3} Q{i * 7919}Z @@{i}" for i in range(60))
+    out = {r["doc_id"]: r for r in quality_rules(frame([*rows, (3000, noise, "xx")])).collect()}
+    assert len(out) == 628 and out[3000]["kept"] is False and not out[3000]["base_failed"]
+    small = [out[1000 + i] for i in range(24) if not out[1000 + i]["base_failed"]]
+    assert len(small) >= 20 and sum(r["kept"] for r in small) >= 0.85 * len(small)
+    assert all(r["kept"] for i, r in out.items() if 2000 <= i < 2003 and not r["base_failed"])
