@@ -206,3 +206,13 @@ def test_small_languages_have_their_own_band(spark, frame):
     small = [out[1000 + i] for i in range(24) if not out[1000 + i]["base_failed"]]
     assert len(small) >= 20 and sum(r["kept"] for r in small) >= 0.85 * len(small)
     assert all(r["kept"] for i, r in out.items() if 2000 <= i < 2003 and not r["base_failed"])
+
+
+def test_noise_in_under_half_of_a_text_counts(spark, frame):
+    rows = documents(spark).filter("lang = 'en'").collect()
+    clean = [r["text"] for r in rows]
+    good = next(t for t in clean if len(t or "") > 3000 and not brute_base(t)[5])[:3000]
+    noise = "\n".join(f"{'#$%&'[i % 4] * 3} Q{i * 7919}Z @@{i}" for i in range(150))[:2450]
+    texts = [(i, t, "en") for i, t in enumerate(clean)] + [(9000, good, "en"), (9001, good + noise, "en")]
+    out = {r["doc_id"]: r for r in quality_rules(frame(texts)).collect()}
+    assert out[9000]["kept"] and not out[9001]["kept"] and not out[9001]["base_failed"]
