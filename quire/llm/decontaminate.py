@@ -2,7 +2,8 @@
 
 A text's numbers, units and names are replaced by typed placeholders; what is left, lower-
 cased and without punctuation, is its template. Template windows of documents are hash-
-joined with those of the benchmark. Where they meet, the slots are compared: an alignment
+joined with those of the benchmark, all of them; a window with few words that are no
+placeholder is looked for by its literal words. Where they meet, the slots are compared: an alignment
 counts if each benchmark value stands for one document value throughout, so a question
 whose numbers or names were changed is caught, and chance matches of bare frames are not.
 """
@@ -17,9 +18,7 @@ from quire.operators.skew import join_small
 from .common import materialize
 
 WINDOW = 8
-#: Every so many-th window of a benchmark item is looked for, and its last one.
-STRIDE = 4
-#: Words of a window that must be no placeholder.
+#: Words of a window that must be no placeholder; one with fewer is met by its literal words only.
 FIXED_WORDS = 4
 #: Up to so many benchmark windows (24 bytes each) are broadcast; beyond, both sides are shuffled.
 BROADCAST_WINDOWS = 1_000_000
@@ -44,17 +43,25 @@ def marked_words(text: Column) -> Column:
     return F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def template_words(text: Column) -> Column:
-    """As ``marked_words``, lower-cased, each slot as its placeholder alone."""
-    return F.transform(marked_words(text), lambda w: F.when(w < "\u0004", F.substring(w, 1, 1)).otherwise(F.lower(w)))
+def literal_words(words: Column) -> Column:
+    """Marked words, lower-cased, without their marks."""
+    return F.transform(words, lambda w: F.lower(F.when(w < "\u0004", F.substring(w, 2, 1 << 30)).otherwise(w)))
 
 
-def _windows(rows: DataFrame, key: str, text: Column) -> DataFrame:
-    """(key, at, hash): the template's windows, from 1; a shorter template is one window."""
-    words = rows.select(F.col(key), template_words(text).alias("_words")).filter(F.size("_words") > 0)
-    last = F.greatest(F.lit(1), F.size("_words") - (WINDOW - 1))
-    at = words.select(key, "_words", F.explode(F.sequence(F.lit(1), last)).alias("at"))
-    return at.select(key, "at", F.slice("_words", F.col("at"), WINDOW).alias("_window"))
+def template_words(words: Column) -> Column:
+    """Marked words, lower-cased, each slot as its placeholder alone."""
+    return F.transform(words, lambda w: F.when(w < "\u0004", F.substring(w, 1, 1)).otherwise(F.lower(w)))
+
+
+def _windows(rows: DataFrame, key: str) -> DataFrame:
+    """(key, at, hash) of rows (key, _words): the windows, from 1; a shorter text is one window."""
+    words = rows.filter(F.size("_words") > 0).select(key, template_words(F.col("_words")).alias("_template"), literal_words(F.col("_words")).alias("_literal"))
+    last = F.greatest(F.lit(1), F.size("_template") - (WINDOW - 1))
+    at = words.select(key, "_template", "_literal", F.explode(F.sequence(F.lit(1), last)).alias("at"))
+    at = at.select(key, "at", F.slice("_template", F.col("at"), WINDOW).alias("_window"), "_literal")
+    fixed = F.size(F.filter("_window", lambda w: w >= "\u0004")) >= F.least(F.lit(FIXED_WORDS), F.size("_window"))
+    literal = F.xxhash64(F.lit("literal"), F.slice("_literal", F.col("at"), WINDOW))
+    return at.select(key, "at", F.when(fixed, F.xxhash64("_window")).otherwise(literal).alias("_hash"))
 
 
 def contamination(
@@ -64,37 +71,38 @@ def contamination(
     with the benchmark windows found, and whether verbatim or reparameterised (other
     values in its slots).
 
-    Any passage of WINDOW + STRIDE - 1 template words is found. A text with fewer words than
+    Any passage of WINDOW template words is found, if FIXED_WORDS of them are no placeholder
+    or it is verbatim. A text with fewer words than
     a window is one window, met only by an equal template. Null and empty texts, and rows
     without id, hold nothing. Repeated rows count once. Ids pass through as they are.
     """
     items = benchmark.select(F.col(item_id).alias("_item"), F.col(item_text).alias("_text")).filter("_item IS NOT NULL")
-    probes = _windows(items, "_item", F.col("_text"))
-    ends = probes.groupBy("_item").agg(F.max("at").alias("_last"))
-    fixed = F.size(F.filter("_window", lambda w: w >= "\u0004")) >= F.least(F.lit(FIXED_WORDS), F.size("_window"))
-    probes = (
-        probes.join(ends, "_item")
-        .filter(fixed & ((F.col("at") % STRIDE == 1) | (F.col("at") == F.col("_last"))))
-        .select("_item", F.col("at").alias("_item_at"), F.xxhash64("_window").alias("_hash"))
-    )
+    item_words = items.select("_item", marked_words(F.col("_text")).alias("_words"))
+    # A capital after a word makes a name: within a document, an item's first word may be one.
+    named = item_words.filter(F.get("_words", F.lit(0)).rlike(r"^\p{Lu}\p{Ll}"))
+    named = named.select("_item", F.transform("_words", lambda w, i: F.when(i == 0, F.concat(F.lit(NAME), w)).otherwise(w)).alias("_words"))
+    probes = _windows(item_words.unionByName(named), "_item").select("_item", F.col("at").alias("_item_at"), "_hash")
     probes = materialize(probes.distinct(), "benchmark-windows")
     if probes.count() <= BROADCAST_WINDOWS:
         probes = F.broadcast(probes)
     own = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).filter("_doc IS NOT NULL")
-    windows = _windows(own, "_doc", F.col("_text")).select("_doc", F.col("at").alias("_at"), F.xxhash64("_window").alias("_hash"))
+    windows = _windows(own.select("_doc", marked_words(F.col("_text")).alias("_words")), "_doc").withColumnRenamed("at", "_at")
     met = windows.join(probes, "_hash").select("_doc", "_item", "_at", "_item_at")
     met = materialize(met.distinct(), "met-windows")
 
     # The slots of the windows that met, from the few texts that hold them.
     held = materialize(met.select("_doc").distinct(), "held")
     doc_words = join_small(own, held, "_doc").select("_doc", marked_words(F.col("_text")).alias("_words")).distinct()
-    item_words = items.select("_item", marked_words(F.col("_text")).alias("_item_words")).distinct()
-    both = met.join(doc_words, "_doc").join(item_words, "_item")
+    both = met.join(doc_words, "_doc").join(item_words.withColumnRenamed("_words", "_item_words").distinct(), "_item")
     slot = F.arrays_zip(
         F.slice("_item_words", F.col("_item_at"), WINDOW).alias("a"), F.slice("_words", F.col("_at"), WINDOW).alias("b")
     )
-    # Hash collisions and rows with one id but other texts end here: the templates must be equal.
-    same = F.forall(slot, lambda p: F.when(p["a"] < "\u0004", F.substring(p["a"], 1, 1) == F.substring(p["b"], 1, 1)).otherwise(F.lower(p["a"]) == F.lower(p["b"])))
+
+    def bare(w: Column) -> Column:
+        return F.lower(F.when(w < "\u0004", F.substring(w, 2, 1 << 30)).otherwise(w))
+
+    # Hash collisions and rows with one id but other texts end here: slots of one type or equal words.
+    same = F.forall(slot, lambda p: ((p["a"] < "\u0004") & (F.substring(p["a"], 1, 1) == F.substring(p["b"], 1, 1))) | (bare(p["a"]) == bare(p["b"])))
     values = F.filter(slot, lambda p: p["a"] < "\u0004")
     both = both.select("_doc", "_item", "_at", "_item_at", same.alias("_same"), values.alias("_values")).filter(F.coalesce("_same", F.lit(False)))
     aligned = both.withColumn("_shift", F.col("_at") - F.col("_item_at"))

@@ -216,3 +216,15 @@ def test_noise_in_under_half_of_a_text_counts(spark, frame):
     texts = [(i, t, "en") for i, t in enumerate(clean)] + [(9000, good, "en"), (9001, good + noise, "en")]
     out = {r["doc_id"]: r for r in quality_rules(frame(texts)).collect()}
     assert out[9000]["kept"] and not out[9001]["kept"] and not out[9001]["base_failed"]
+
+
+def test_every_benchmark_window_is_looked_for(spark, frame):
+    title = "What Is The Largest City In The Whole Country Of France And Which River Runs Through The Old Town"
+    sums = "Solve 12 + 34 - 5 = 41 and 7 * 8 = 56 and 9 - 3 = 6"
+    prose = "the small grey cat sat down on the old wooden chair near the open window"
+    bench = spark.createDataFrame([(1, title), (2, sums), (3, prose)], "item_id long, text string")
+    part = " ".join(prose.split()[2:10])
+    docs = frame([(1, f"as asked {title} again"), (2, f"pupils: {sums} done"), (3, f"xx {part} yy"), (4, title.replace("France", "Spain").replace("River", "Street").replace("Largest", "Oldest"))])
+    found = {(r["doc_id"], r["item_id"]): r["kind"] for r in contamination(docs, bench).collect()}
+    assert found.pop((4, 1), "verbatim") == "verbatim"
+    assert found == {(1, 1): "verbatim", (2, 2): "verbatim", (3, 3): "verbatim"}
