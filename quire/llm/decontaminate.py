@@ -3,9 +3,11 @@
 A text's numbers, units and names are replaced by typed placeholders; what is left, lower-
 cased and without punctuation, is its template. Template windows of documents are hash-
 joined with those of the benchmark, all of them; a window with few words that are no
-placeholder is looked for by its literal words. Where they meet, the slots are compared: an alignment
-counts if each benchmark value stands for one document value throughout, so a question
-whose numbers or names were changed is caught, and chance matches of bare frames are not.
+placeholder is looked for by its literal words. Where they meet, the slots are compared: a
+window with the benchmark's own values, or without slots, always counts. Windows with other
+values count if each benchmark value stands for one document value in all of them in an
+alignment, so a question whose numbers or names were changed is caught, and chance matches
+of bare frames are not.
 """
 
 from __future__ import annotations
@@ -53,15 +55,22 @@ def template_words(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(w < "\u0004", F.substring(w, 1, 1)).otherwise(F.lower(w)))
 
 
-def _windows(rows: DataFrame, key: str) -> DataFrame:
-    """(key, at, hash) of rows (key, _words): the windows, from 1; a shorter text is one window."""
-    words = rows.filter(F.size("_words") > 0).select(key, template_words(F.col("_words")).alias("_template"), literal_words(F.col("_words")).alias("_literal"))
-    last = F.greatest(F.lit(1), F.size("_template") - (WINDOW - 1))
-    at = words.select(key, "_template", "_literal", F.explode(F.sequence(F.lit(1), last)).alias("at"))
-    at = at.select(key, "at", F.slice("_template", F.col("at"), WINDOW).alias("_window"), "_literal")
-    fixed = F.size(F.filter("_window", lambda w: w >= "\u0004")) >= F.least(F.lit(FIXED_WORDS), F.size("_window"))
-    literal = F.xxhash64(F.lit("literal"), F.slice("_literal", F.col("at"), WINDOW))
-    return at.select(key, "at", F.when(fixed, F.xxhash64("_window")).otherwise(literal).alias("_hash"))
+def _windows(rows: DataFrame, key: str, words: Column) -> DataFrame:
+    """(key, at, _hash): the windows of marked words, from 1; a shorter text is one window."""
+
+    def hash_at(p: Column, i: Column) -> Column:
+        window = F.slice(p["template"], i, WINDOW)
+        fixed = F.size(F.filter(window, lambda w: w >= "\u0004")) >= F.least(F.lit(FIXED_WORDS), F.size(window))
+        return F.when(fixed, F.xxhash64(window)).otherwise(F.xxhash64(F.lit("literal"), F.slice(p["literal"], i, WINDOW)))
+
+    def hashes(p: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(p["template"]) - (WINDOW - 1))), lambda i: hash_at(p, i))
+
+    # Arrays of one element bind a value, so that it is computed once a text, not once a window.
+    both = F.transform(F.array(words), lambda w: F.struct(template_words(w).alias("template"), literal_words(w).alias("literal")))
+    both = F.filter(both, lambda p: F.size(p["template"]) > 0)
+    found = rows.select(key, F.posexplode(F.flatten(F.transform(both, hashes))).alias("at", "_hash"))
+    return found.withColumn("at", F.col("at") + 1)
 
 
 def contamination(
@@ -81,12 +90,12 @@ def contamination(
     # A capital after a word makes a name: within a document, an item's first word may be one.
     named = item_words.filter(F.get("_words", F.lit(0)).rlike(r"^\p{Lu}\p{Ll}"))
     named = named.select("_item", F.transform("_words", lambda w, i: F.when(i == 0, F.concat(F.lit(NAME), w)).otherwise(w)).alias("_words"))
-    probes = _windows(item_words.unionByName(named), "_item").select("_item", F.col("at").alias("_item_at"), "_hash")
+    probes = _windows(item_words.unionByName(named), "_item", F.col("_words")).select("_item", F.col("at").alias("_item_at"), "_hash")
     probes = materialize(probes.distinct(), "benchmark-windows")
     if probes.count() <= BROADCAST_WINDOWS:
         probes = F.broadcast(probes)
     own = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).filter("_doc IS NOT NULL")
-    windows = _windows(own.select("_doc", marked_words(F.col("_text")).alias("_words")), "_doc").withColumnRenamed("at", "_at")
+    windows = _windows(own, "_doc", marked_words(F.col("_text"))).withColumnRenamed("at", "_at")
     met = windows.join(probes, "_hash").select("_doc", "_item", "_at", "_item_at")
     met = materialize(met.distinct(), "met-windows")
 
@@ -106,12 +115,18 @@ def contamination(
     values = F.filter(slot, lambda p: p["a"] < "\u0004")
     both = both.select("_doc", "_item", "_at", "_item_at", same.alias("_same"), values.alias("_values")).filter(F.coalesce("_same", F.lit(False)))
     aligned = both.withColumn("_shift", F.col("_at") - F.col("_item_at"))
-    shifts = aligned.groupBy("_doc", "_item", "_shift").agg(F.countDistinct("_item_at").alias("n"))
-    slots = aligned.select("_doc", "_item", "_shift", F.explode("_values").alias("v")).distinct()
-    slots = slots.groupBy("_doc", "_item", "_shift", "v.a").agg(F.count("*").alias("_n"), F.max(F.col("v.a") != F.col("v.b")).alias("_other"))
-    slots = slots.groupBy("_doc", "_item", "_shift").agg(F.max("_n").alias("_most"), F.max("_other").alias("_other"))
-    found = shifts.join(slots, ["_doc", "_item", "_shift"], "left").filter(F.coalesce("_most", F.lit(1)) == 1)
-    kind = F.when(F.min(F.coalesce("_other", F.lit(False))), "reparameterised").otherwise("verbatim")
+    aligned = aligned.withColumn("_equal", F.forall("_values", lambda v: F.lower(v["a"]) == F.lower(v["b"])))
+    shifts = aligned.groupBy("_doc", "_item", "_shift").agg(
+        F.countDistinct("_item_at").alias("n"),
+        F.countDistinct(F.when(F.col("_equal"), F.col("_item_at"))).alias("_n_equal"),
+        F.max(~F.col("_equal")).alias("_other"),
+    )
+    slots = aligned.filter("NOT _equal").select("_doc", "_item", "_shift", F.explode("_values").alias("v")).distinct()
+    slots = slots.groupBy("_doc", "_item", "_shift", "v.a").agg(F.count("*").alias("_n"))
+    slots = slots.groupBy("_doc", "_item", "_shift").agg(F.max("_n").alias("_most"))
+    found = shifts.join(slots, ["_doc", "_item", "_shift"], "left")
+    found = found.withColumn("n", F.when(F.coalesce("_most", F.lit(1)) == 1, F.col("n")).otherwise(F.col("_n_equal"))).filter("n > 0")
+    kind = F.when(F.min("_other"), "reparameterised").otherwise("verbatim")
     return found.groupBy(F.col("_doc").alias(doc_id), F.col("_item").alias(item_id)).agg(F.sum("n").alias("n_windows"), kind.alias("kind"))
 
 

@@ -228,3 +228,11 @@ def test_every_benchmark_window_is_looked_for(spark, frame):
     found = {(r["doc_id"], r["item_id"]): r["kind"] for r in contamination(docs, bench).collect()}
     assert found.pop((4, 1), "verbatim") == "verbatim"
     assert found == {(1, 1): "verbatim", (2, 2): "verbatim", (3, 3): "verbatim"}
+
+
+def test_equal_windows_count_beside_inconsistent_ones(spark, frame):
+    item = "each of the 2 farmers sells ten baskets of ripe apples to the same old market after they had waited for 2 days in heavy rain"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = frame([(1, f"so {item} too"), (2, item.replace("2 days", "5 days")), (3, item.replace("2 farmers", "3 farmers").replace("2 days", "5 days"))])
+    out = {r["doc_id"]: (r["n_windows"], r["kind"]) for r in contamination(docs, bench).collect()}
+    assert out[1][1] == "verbatim" and out[2][1] == out[3][1] == "reparameterised" and out[1][0] >= out[2][0] > out[3][0] > 0
