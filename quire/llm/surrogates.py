@@ -1,6 +1,8 @@
 """Personal data: keyed surrogates, in DataFrame operations only.
 
 1. One pattern finds the entities; a text is its entities and the gaps between them.
+   A name is a title and any number of parts, each an entity of its own: "Mr John Smith" and
+   "Mr Smith" share a part. Parts that return without a title in the text are replaced too.
 2. The distinct entities (type and canonical value: so mentions of one in other formats or
    cases are one) get a surrogate from a keyed hash, of the same type, gender and script.
    Surrogates that two entities share, or that are themselves an entity of the texts, are
@@ -23,7 +25,10 @@ from .common import materialize
 #: Titles by gender, and the patterns of the types, in the order of their test.
 FEMALE = r"Mrs|Ms|Miss|Mme|Mlle|Frau|Señora|Sra|г-жа"
 MALE = r"Mr|Herr|Monsieur|Señor|Sr|г-н"
-TITLE = r"(?:%s)\.?\s"
+TITLE = r"(?:%s)\.?\s+"
+#: A part of a name: an initial, or a word that may hold hyphens and apostrophes.
+PART = r"\p{Lu}(?:\.|(?:\p{L}|['’-](?!s(?!\p{L}))\p{L})+)"
+NAMES = rf"{PART}(?:(?:\s+|(?<=\.)){PART})*"
 KEYWORD = r"(?:password|passwd|secret|token|api_key)\s?[=:]\s?[\"']?"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
@@ -32,8 +37,8 @@ PATTERNS = {
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "female": rf"(?<!\p{{L}}){TITLE % FEMALE}\p{{Lu}}\p{{L}}+(?:\s\p{{Lu}}\p{{L}}+)?",
-    "male": rf"(?<!\p{{L}}){TITLE % MALE}\p{{Lu}}\p{{L}}+(?:\s\p{{Lu}}\p{{L}}+)?",
+    "female": rf"(?<!\p{{L}}){TITLE % FEMALE}{NAMES}",
+    "male": rf"(?<!\p{{L}}){TITLE % MALE}{NAMES}",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Syllables of invented names, by script.
@@ -43,7 +48,8 @@ MAX_DRAWS = 40
 
 
 def entity_table(mentions: DataFrame) -> DataFrame:
-    """mentions (mention) with lead (the title or keyword that stays), type and canon."""
+    """mentions (mention) with lead (what stays before it: title, keyword, space), type and
+    canon; a name is one row (k) for each of its parts."""
     m = F.col("mention")
     kind = F.lit("card")
     for name in reversed([k for k in PATTERNS if k != "card"]):
@@ -54,6 +60,11 @@ def entity_table(mentions: DataFrame) -> DataFrame:
     lead = F.coalesce(lead, F.lit(""))
     own = mentions.withColumns({"type": kind, "lead": lead})
     own = own.withColumn("mention", F.substring("mention", F.length("lead") + 1, F.length("mention")))
+    name = F.col("type").isin("female", "male")
+    own = own.withColumn("_gaps", F.when(name, F.split("mention", PART)).otherwise(F.array(F.lit(""))))
+    parts = F.when(name, F.regexp_extract_all("mention", F.lit(PART), F.lit(0))).otherwise(F.array("mention"))
+    own = own.select(*[c for c in own.columns if c != "mention"], F.posexplode(parts).alias("k", "mention"))
+    own = own.withColumn("lead", F.when(F.col("k") == 0, F.col("lead")).otherwise(F.get("_gaps", F.col("k")))).drop("_gaps")
     digits = F.regexp_replace("mention", "[^0-9]", "")
     t = F.col("type")
     canon = F.when(t.isin("phone", "card"), digits).when(t.isin("key", "secret", "ip"), F.col("mention")).otherwise(F.lower("mention"))
@@ -140,7 +151,7 @@ def formatted(mention: Column, kind: Column, surrogate: Column) -> Column:
         return F.when(c.rlike("[0-9]"), F.substring(surrogate, at, F.lit(1))).otherwise(c)
 
     in_place = F.array_join(F.transform(F.split(mention, ""), digit), "")
-    shouted = (F.upper(mention) == mention) & (F.lower(mention) != mention) & kind.isin("email", "female", "male")
+    shouted = (F.upper(mention) == mention) & (F.lower(mention) != mention) & (F.length(mention) > 2) & kind.isin("email", "female", "male")
     return F.when(kind.isin("phone", "card"), in_place).when(shouted, F.upper(surrogate)).otherwise(surrogate)
 
 
@@ -148,7 +159,7 @@ def replace_personal_data(docs: DataFrame, key: str, text: str = "text") -> Data
     """``docs`` with the entities of ``text`` replaced by surrogates, and n_entities.
 
     The same key gives the same surrogates for the same set of entities. Null stays null, with
-    0 entities; a text without entities stays as it is. Repeated rows get equal results, and
+    0 entities; untitled repeats of names are replaced and not counted; a text without entities stays as it is. Repeated rows get equal results, and
     an empty table an empty one. Whole texts are searched.
     """
     columns = [c for c in docs.columns if c not in (text, "n_entities")]
@@ -168,9 +179,29 @@ def replace_personal_data(docs: DataFrame, key: str, text: str = "text") -> Data
     entities = mentions.groupBy("type", "canon").agg(F.count("*").alias("_n"))
     new = surrogates(entities.select("type", "canon"), key)
     named = join_small(mentions, new, ["type", "canon"], "inner", counts=lambda: entities)
-    named = named.select("_list", F.struct("at", F.concat("lead", formatted(F.col("mention"), F.col("type"), F.col("surrogate"))).alias("s")).alias("s"))
-    replies = named.groupBy("_list").agg(F.transform(F.sort_array(F.collect_list("s")), lambda s: s["s"]).alias("_new"))
+    # A mark, which no surrogate holds, begins each mention but the first.
+    begin = F.when((F.col("k") == 0) & (F.col("at") > 0), "\u0001").otherwise("")
+    said = F.concat(begin, "lead", formatted(F.col("mention"), F.col("type"), F.col("surrogate")))
+    part = F.col("type").isin("female", "male") & ~F.col("mention").endswith(".")
+    named = named.select("_list", F.struct("at", "k", said.alias("s")).alias("s"), F.when(part, F.struct("canon", "surrogate")).alias("p"))
+    replies = named.groupBy("_list").agg(
+        F.split(F.array_join(F.transform(F.sort_array(F.collect_list("s")), lambda s: s["s"]), ""), "\u0001").alias("_new"),
+        F.sort_array(F.collect_set("p")).alias("_parts"),
+    )
     joined = join_small(marked, replies, "_list", "inner", counts=lambda: lists.select("_list", "_n"))
-    whole = F.array_join(F.zip_with("_gaps", "_new", lambda g, s: F.concat(g, F.coalesce(s, F.lit("")))), "")
+
+    def untitled(gap: Column) -> Column:
+        """The gap with the parts of the text's names replaced."""
+        word = rf"(?<!\p{{L}}){PART}"
+
+        def reply(w: Column) -> Column:
+            hit = F.get(F.filter("_parts", lambda p: p["canon"] == F.lower(w)), F.lit(0))["surrogate"]
+            return F.coalesce(F.when((F.upper(w) == w) & (F.length(w) > 2), F.upper(hit)).otherwise(hit), w)
+
+        words = F.transform(F.regexp_extract_all(gap, F.lit(word), F.lit(0)), reply)
+        return F.array_join(F.zip_with(F.split(gap, word), words, lambda g, w: F.concat(g, F.coalesce(w, F.lit("")))), "")
+
+    gaps = F.when(F.size("_parts") > 0, F.transform("_gaps", untitled)).otherwise(F.col("_gaps"))
+    whole = F.array_join(F.zip_with(gaps, "_new", lambda g, s: F.concat(g, F.coalesce(s, F.lit("")))), "")
     done = joined.select(*columns, whole.alias(text), F.size("_new").cast("long").alias("n_entities"))
     return clean.unionByName(done).select(*order, "n_entities")

@@ -236,3 +236,15 @@ def test_equal_windows_count_beside_inconsistent_ones(spark, frame):
     docs = frame([(1, f"so {item} too"), (2, item.replace("2 days", "5 days")), (3, item.replace("2 farmers", "3 farmers").replace("2 days", "5 days"))])
     out = {r["doc_id"]: (r["n_windows"], r["kind"]) for r in contamination(docs, bench).collect()}
     assert out[1][1] == "verbatim" and out[2][1] == out[3][1] == "reparameterised" and out[1][0] >= out[2][0] > out[3][0] > 0
+
+
+def test_names_of_many_parts_and_untitled_repeats(frame):
+    texts = [
+        "Mrs Anna Maria Kowalska met Mrs Mary-Jane Lee, Mr J. Quill and Mr O'Neil.",
+        "Mr John Smith came; Mr\nJohn  Smith left. Mr Smith's hat stayed, and John Smith paid. Smithers did not.",
+    ]
+    out = {r["doc_id"]: r["text"] for r in replace_personal_data(frame(list(enumerate(texts))), "k").collect()}
+    assert not re.search(r"Anna|Maria|Kowalska|Mary|Jane|Lee|Quill|Neil", out[0])
+    m = re.fullmatch(r"Mr (\w+) (\w+) came; Mr\n(\w+)  (\w+) left\. Mr (\w+)'s hat stayed, and (\w+) (\w+) paid\. Smithers did not\.", out[1])
+    a, b = m[1], m[2]
+    assert m.groups() == (a, b, a, b, b, a, b) and a != b and not {a, b} & {"John", "Smith"}
