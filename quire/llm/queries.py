@@ -15,10 +15,13 @@ from .ngram_join import ngram_join
 from .preference import neighbours, preference_pairs, turns_of
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
+from .ranked_search import ranked_search
 from .surrogates import replace_personal_data
+from .token_counts import token_counts
 from .url_filter import url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Key of the surrogates in op1; a user passes their own secret.
 KEY = "an example key"
 #: Fixed values of op10's contract.
@@ -86,6 +89,15 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(read(spark, sf_dir, "pages"), RULES).drop("url", "html")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str, model: str = PIECES) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts(docs, model).drop("text")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_surrogates": op1_surrogates,
     "op2_bpe": op2_bpe,
@@ -97,6 +109,8 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_score": op9_lm_score,
     "op10_url_filter": op10_url_filter,
+    "op11_token_counts": op11_token_counts,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 ORACLE = {
@@ -117,4 +131,32 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op12_ranked_search": r"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents
+), docs AS (SELECT r, doc_id, len(ws) AS n, ws FROM words WHERE len(ws) > 0),
+total AS (SELECT count(*)::BIGINT AS N_, sum(n)::BIGINT AS L_ FROM docs),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), tfs AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, n, unnest(ws) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY r, doc_id, n, term
+), dfs AS (SELECT term, count(*)::BIGINT AS df FROM tfs GROUP BY term),
+shares AS (
+  SELECT r, doc_id, term,
+    floor(1000 * ln((2 * N_ + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+      * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * N_) // L_))) AS share
+  FROM tfs JOIN dfs USING (term), total
+), scored AS (
+  SELECT item_id, r, doc_id, sum(share)::BIGINT AS score
+  FROM wanted JOIN shares USING (term) GROUP BY item_id, r, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+) WHERE rank <= 50""",
 }
