@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .common import read
+from .conversation_repair import damage, repair_conversations
 from .decontaminate import contamination
 from .line_dedup import line_dedup
 from .lm_score import cross_entropy_difference, with_target
@@ -98,6 +99,13 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations with faults put into them, repaired."""
+    repaired = repair_conversations(damage(read(spark, sf_dir, "conversations")), absent="absent")
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    return repaired.withColumn("repaired_sha256", F.sha2(F.concat_ws("\n", lines), 256)).drop("turns")
+
+
 QUERIES = {
     "op1_surrogates": op1_surrogates,
     "op2_bpe": op2_bpe,
@@ -111,6 +119,7 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
     "op11_token_counts": op11_token_counts,
     "op12_ranked_search": op12_ranked_search,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE = {
