@@ -6,8 +6,8 @@ skew-join split does not apply to it: the aggregate's output is already
 partitioned by the key, so the join has no shuffle on that side to split, and a
 key holding a third of all rows would be joined inside one task.
 
-``join_small`` is the entry point: the aggregate side is counted and broadcast
-when within a row bound (no shuffle of the big side at all), and otherwise
+``join_small`` is the entry point: the aggregate side is measured and broadcast
+when within a bound of rows and bytes (no shuffle of the big side at all), and otherwise
 joined through ``join_back``, which salts hot keys explicitly. Keys with more
 than ``total / (share * cores)`` rows are hot, where cores is the cluster's
 default parallelism (so there are at most ``share * cores`` of them, a proven
@@ -23,8 +23,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MIN_ROWS_CONF = "spark.quire.skew.minRows"
 SHARE_CONF = "spark.quire.skew.share"
@@ -85,6 +86,30 @@ def join_back(
 
 BROADCAST_ROWS_CONF = "spark.quire.broadcastRows"
 DEFAULT_BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES_CONF = "spark.quire.broadcastBytes"
+DEFAULT_BROADCAST_BYTES = 128 << 20
+
+
+def _width(value: Column, kind: T.DataType) -> Column:
+    """Bytes that a value takes, about: texts and arrays by their length."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.StructType):
+        return sum((_width(value[f.name], f.dataType) for f in kind.fields), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.NumericType, T.BooleanType, T.DatetimeType)):
+            return F.lit(8) * F.greatest(F.coalesce(F.size(value), F.lit(0)), F.lit(0))
+        return F.coalesce(F.aggregate(value, F.lit(0), lambda n, x: n + _width(x, kind.elementType)), F.lit(0))
+    if isinstance(kind, T.MapType):
+        return F.coalesce(F.octet_length(F.to_json(value)), F.lit(0))
+    return F.lit(8)
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df``, from one pass over it."""
+    width = sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
+    return rows, size or 0
 
 
 def join_small(
@@ -98,16 +123,19 @@ def join_small(
     """Join ``big`` with a one-row-per-key ``small`` side: broadcast behind a size
     check, salted shuffle join beyond it.
 
-    ``small`` is checkpointed (it is read twice: counted, then joined) and counted.
-    Up to ``spark.quire.broadcastRows`` rows it is broadcast, a proven bound, and
-    ``big`` is not shuffled at all. Beyond that the join shuffles through
+    ``small`` is checkpointed (it is read twice: measured, then joined). Up to
+    ``spark.quire.broadcastRows`` rows and ``spark.quire.broadcastBytes`` bytes it is
+    broadcast, a proven bound, and ``big`` is not shuffled at all. Beyond that the join
+    shuffles through
     ``join_back``, with the hot keys taken from ``counts`` (a per-key count table,
     or a function building one, called only in that case).
     """
     spark = big.sparkSession
     limit = int(spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
+    most = int(spark.conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_BROADCAST_BYTES)))
     small = small.checkpoint(eager=True)
-    if small.count() <= limit:
+    rows, size = measured(small)
+    if rows <= limit and size <= most:
         keys = [key] if isinstance(key, str) else list(key)
         return big.join(F.broadcast(small), keys, how)
     if callable(counts):

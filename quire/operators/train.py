@@ -12,8 +12,10 @@ an SQL oracle with it.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.skew import join_small
@@ -100,29 +102,68 @@ def train_folds(tagged: DataFrame, k: int = 5, concurrent: int | None = None, **
 
 def fold_rmse(models: dict[int, ALSModel], tagged: DataFrame, label: str = "norm") -> DataFrame:
     """(fold, rmse): each model on its own test split, the reference's per-fold print."""
-    scored = None
-    for f, model in models.items():
-        part = predict(model, fold_frame(tagged, f, "test")).withColumn("fold", F.lit(f))
-        scored = part if scored is None else scored.unionByName(part)
-    scored = scored.na.drop(subset=["prediction"])
+    scored = cross_predict(models, tagged, own_fold_only=True)
     diff = F.col(label) - F.col("prediction")
     return scored.groupBy("fold").agg(F.sqrt(F.avg(diff * diff)).alias("rmse"))
 
 
+def stacked_factors(models: dict[int, ALSModel], side: str) -> DataFrame:
+    """(id, _<side>_<m>...): one row per user (or item) with the factors that each model
+    has for it, null where a model does not know it."""
+    parts = None
+    for m, model in sorted(models.items()):
+        own = model.userFactors if side == "user" else model.itemFactors
+        part = own.select("id", F.struct(F.lit(m).alias("key"), F.col("features").alias("value")).alias("_f"))
+        parts = part if parts is None else parts.unionByName(part)
+    # At most one row a model and id.
+    stack = parts.groupBy("id").agg(F.map_from_entries(F.collect_list("_f")).alias("_f"))
+    return stack.select("id", *[F.try_element_at("_f", F.lit(m)).alias(f"_{side}_{m}") for m in sorted(models)])
+
+
+def _dot(a: str, b: str, rank: int) -> Column:
+    """Inner product as one arithmetic expression, null where either side is."""
+    total = F.lit(0.0)
+    for i in range(rank):
+        total = total + F.get(a, F.lit(i)).cast("double") * F.get(b, F.lit(i)).cast("double")
+    return total
+
+
 def cross_predict(models: dict[int, ALSModel], tagged: DataFrame, own_fold_only: bool = False) -> DataFrame:
     """Every model on every fold's test split, as one frame tagged ``model``,
-    ``fold``. Test sets are read once per model from the tagged splits.
+    ``fold``, with ``prediction``; rows whose user or item a model does not know
+    (cold start) have no row for that model.
+
+    The factors of all models are stacked, one row per user and one per item, so
+    the test rows meet each side once, whatever the number of models (two joins,
+    ``join_small``: broadcast when small, else salted for hot users and items), and
+    all predictions of a row come from one projection.
 
     The default scores each model on all test sets, as the reference does (so a
     model also meets rows it trained on); ``own_fold_only`` keeps each model to
-    its own fold's test split, which prunes the other folds at the scan."""
+    its own fold's test split."""
+    first = next(iter(models.values()))
+    user, item = first.getUserCol(), first.getItemCol()
+    ensure_checkpoint_dir(tagged.sparkSession)
     tests = test_rows(tagged, max(models))
-    out = None
+    columns = tests.columns
+    for key, side in ((user, "user"), (item, "item")):
+        stack = stacked_factors(models, side).withColumnRenamed("id", key)
+        stack = stack.withColumn(key, F.col(key).cast(tests.schema[key].dataType))
+        # Columns of ``tests`` alone: the hot keys are those of the test rows.
+        counts = partial(_key_counts, test_rows(tagged, max(models)), key)
+        tests = join_small(tests, stack, key, "inner", counts=counts)
+    scored = []
     for m, model in sorted(models.items()):
-        mine = tests.filter(F.col("fold") == m) if own_fold_only else tests
-        part = predict(model, mine).withColumn("model", F.lit(m))
-        out = part if out is None else out.unionByName(part)
-    return out.na.drop(subset=["prediction"])
+        value = _dot(f"_user_{m}", f"_item_{m}", model.rank)
+        if own_fold_only:
+            value = F.when(F.col("fold") == m, value)
+        scored.append(F.struct(F.lit(m).alias("model"), value.alias("prediction")))
+    out = tests.select(*columns, F.explode(F.array(*scored)).alias("_s"))
+    return out.select(*columns, "_s.prediction", "_s.model").na.drop(subset=["prediction"])
+
+
+def _key_counts(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
 
 
 def item_mean_models(tagged: DataFrame, item: str = "item_id", label: str = "norm", k: int = 5) -> DataFrame:

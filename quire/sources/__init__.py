@@ -18,7 +18,7 @@ from quire.sources.csv_io import (
     write_csv,
     write_ratings_csv,
 )
-from quire.sources.dump import read_dump_lines, write_lines
+from quire.sources.dump import read_dump_lines, read_dump_statements, write_lines
 from quire.sources.tables import load_tables, read_table
 
 __all__ = [
@@ -29,6 +29,7 @@ __all__ = [
     "read_books_csv",
     "read_csv",
     "read_dump_lines",
+    "read_dump_statements",
     "read_manifest",
     "read_ratings_csv",
     "read_table",

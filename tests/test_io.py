@@ -39,6 +39,18 @@ def test_csv_round_trip_is_exact_except_literal_na(spark, tmp_dir):
     assert back["0000000002"][2:] == orig["0000000002"][2:]
 
 
+def test_books_csv_keeps_line_breaks(spark, tmp_dir, monkeypatch):
+    from quire.sources import csv_io
+
+    monkeypatch.setattr(csv_io, "FILE_ROWS", 2)
+    texts = ["a\nb", "a\r\nb", "\r", 'x",\n"y', "\n", "plain", None, ""]
+    books = spark.createDataFrame([(f"{i:010d}", t, t, i, t, t, t, t) for i, t in enumerate(texts)], schemas.BOOKS)
+    path = os.path.join(tmp_dir, "books")
+    write_csv(books.coalesce(1), path)
+    assert len([p for p in os.listdir(path) if p.endswith(".csv")]) == 4
+    assert sorted(map(tuple, read_books_csv(spark, path).collect())) == sorted(map(tuple, books.collect()))
+
+
 def test_ratings_csv_keeps_leading_zeros(spark, tmp_dir):
     r = spark.createDataFrame([(1, "0012345678", 5), (2, "0000000000", None)], schemas.RATINGS)
     path = os.path.join(tmp_dir, "ratings")
