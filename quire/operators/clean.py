@@ -61,8 +61,15 @@ def invalid_book_ratings(
     ratings: DataFrame, books: DataFrame, isbn: str = "isbn", pattern: str = NON_DIGIT
 ) -> DataFrame:
     """Ratings whose ISBN is one of the catalogue's invalid ISBNs (semi join)."""
-    keys = invalid_books(books, isbn, pattern).select(isbn)
-    return ratings.join(keys, isbn, "left_semi").select(*ratings.columns)
+    keys = invalid_books(books, isbn, pattern).select(isbn).distinct()
+    return _by_key(ratings, keys, isbn, "left_semi")
+
+
+def _by_key(rows: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """Semi or anti join with a set of keys: broadcast when small, else hot keys salted."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    counts = lambda: key_counts(rows.filter(F.col(key).isNotNull()), key)
+    return join_small(rows, keys, key, how, counts=counts).select(*rows.columns)
 
 
 def drop_orphans(ratings: DataFrame, books: DataFrame, isbn: str = "isbn") -> DataFrame:
@@ -71,7 +78,7 @@ def drop_orphans(ratings: DataFrame, books: DataFrame, isbn: str = "isbn") -> Da
     with a NULL ISBN is not deleted by ``NOT IN``, and a catalogue holding a NULL
     ISBN deletes nothing."""
     orphans = bad_isbns(ratings, books, isbn).filter(F.col("_rule") == "orphan").select(isbn)
-    return ratings.join(orphans, isbn, "left_anti").select(*ratings.columns)
+    return _by_key(ratings, orphans, isbn, "left_anti")
 
 
 def all_zero_keys(df: DataFrame, key: str, rating: str = "book_rating") -> DataFrame:
@@ -81,7 +88,7 @@ def all_zero_keys(df: DataFrame, key: str, rating: str = "book_rating") -> DataF
 
 
 def drop_all_zero(df: DataFrame, key: str, rating: str = "book_rating") -> DataFrame:
-    return df.join(all_zero_keys(df, key, rating), key, "left_anti").select(*df.columns)
+    return _by_key(df, all_zero_keys(df, key, rating), key, "left_anti")
 
 
 def drop_zero(df: DataFrame, rating: str = "book_rating") -> DataFrame:

@@ -7,7 +7,7 @@ final merge sees at most k rows per task. Ties are always broken by the key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.predicates import positive
@@ -104,22 +104,43 @@ def top_books_of_counts(
     )
 
 
-def per_key_counts(df: DataFrame, key: str, rating: str = "book_rating") -> DataFrame:
-    """(key, n_rows, n_ratings): all rows and positive ratings per key, one scan."""
-    return df.groupBy(key).agg(
+def activity_table(
+    ratings: DataFrame, user: str = "user_id", isbn: str = "isbn", rating: str = "book_rating", kept: Column | None = None
+) -> DataFrame:
+    """(by_book, user, isbn, n_rows, n_ratings, rows_kept, ratings_kept): for every user
+    (``by_book`` false) and every book (true) its rows and its positive ratings, of all
+    rows and of those where ``kept`` holds. One scan: grouping sets count each row once
+    per entity before the shuffle. The row counts, histograms and top lists of a profile,
+    before and after cleaning, all derive from this table."""
+    rows = ratings.select(
+        F.col(user).alias("_user"), F.col(isbn).alias("_isbn"), positive(rating).alias("_rated"), (F.lit(True) if kept is None else kept).alias("_kept")
+    )
+    counted = rows.groupingSets([[F.col("_user")], [F.col("_isbn")]], "_user", "_isbn").agg(
+        (F.grouping("_user") == 1).alias("by_book"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(positive(rating), F.lit(1))).alias("n_ratings"),
+        F.count_if("_rated").alias("n_ratings"),
+        F.count_if("_kept").alias("rows_kept"),
+        F.count_if(F.col("_rated") & F.col("_kept")).alias("ratings_kept"),
     )
+    counts = ["n_rows", "n_ratings", "rows_kept", "ratings_kept"]
+    return counted.select("by_book", F.col("_user").alias(user), F.col("_isbn").alias(isbn), *counts)
 
 
 def sparsity(df: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
-    """(n_users, n_items, n_ratings, sparsity) in one aggregation job; the reference
-    runs three. An empty table yields a NULL sparsity instead of a division error."""
-    counts = df.agg(
-        F.count_distinct(user).alias("n_users"),
-        F.count_distinct(item).alias("n_items"),
-        F.count(F.lit(1)).alias("n_ratings"),
+    """(n_users, n_items, n_ratings, sparsity) in one job; the reference runs three. An
+    empty table yields a NULL sparsity instead of a division error.
+
+    Users and items are counted from their own per-key tables: two scans of one column
+    each, hash aggregates on both sides of the shuffle, no row expanded. A null user or
+    item is none, its row a rating."""
+    none = F.lit(0).cast("bigint")
+    users = df.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
+    users = users.agg(F.count(user).alias("n_users"), F.coalesce(F.sum("_n"), none).alias("n_ratings"))
+    items = df.groupBy(item).agg(F.any_value(F.lit(1)).alias("_one")).agg(F.count(item).alias("n_items"))
+    parts = users.select("n_users", none.alias("n_items"), "n_ratings").unionByName(
+        items.select(none.alias("n_users"), "n_items", none.alias("n_ratings"))
     )
+    counts = parts.agg(*[F.sum(c).alias(c) for c in ("n_users", "n_items", "n_ratings")])
     cells = F.col("n_users").cast("double") * F.col("n_items").cast("double")
     return counts.withColumn(
         "sparsity", F.lit(1.0) - F.try_divide(F.col("n_ratings").cast("double"), cells)

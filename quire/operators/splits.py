@@ -18,15 +18,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def random_splits(df: DataFrame, k: int = 5, seed: int = 42, train_fraction: float = 0.8) -> DataFrame:
-    """k independent random splits; fold f (1..k) uses ``rand(seed + f - 1)``.
+def _draw(seed: int, keys: Sequence[str]) -> F.Column:
+    """A number in [0, 1): ``rand(seed)``, or a hash of the keys and the seed."""
+    if not keys:
+        return F.rand(seed)
+    # The upper 53 bits of the hash, as many as a double holds.
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 11).cast("double") / F.lit(float(1 << 53))
 
-    Like ``randomSplit``, the draw depends on the input partitioning; write the
-    result before reusing it.
+
+def random_splits(
+    df: DataFrame, k: int = 5, seed: int = 42, train_fraction: float = 0.8, keys: Sequence[str] = ()
+) -> DataFrame:
+    """k independent random splits; fold f (1..k) draws with seed + f - 1.
+
+    Without ``keys`` the draw is ``rand``: like ``randomSplit`` it depends on the input
+    partitioning; write the result before reusing it. With ``keys`` (columns that tell
+    rows apart) it is a hash of them: the same rows are drawn however they are
+    partitioned, and again when a lost task is repeated. Rows of equal keys share a draw.
     """
     draws = F.array(
         *[
-            F.struct(F.lit(f).alias("fold"), F.rand(seed + f - 1).alias("_u"))
+            F.struct(F.lit(f).alias("fold"), _draw(seed + f - 1, keys).alias("_u"))
             for f in range(1, k + 1)
         ]
     )
@@ -63,7 +75,9 @@ def hash_splits(
 MAX_FOLDS = 63
 
 
-def random_split_mask(df: DataFrame, k: int = 5, seed: int = 42, train_fraction: float = 0.8) -> DataFrame:
+def random_split_mask(
+    df: DataFrame, k: int = 5, seed: int = 42, train_fraction: float = 0.8, keys: Sequence[str] = ()
+) -> DataFrame:
     """The same k independent draws as ``random_splits``, stored as one bigint column
     ``test_mask`` (bit f-1 set: the row is in fold f's test split) instead of k
     copies of every row. Written once, the splits take the input's size rather
@@ -71,7 +85,7 @@ def random_split_mask(df: DataFrame, k: int = 5, seed: int = 42, train_fraction:
     if not 1 <= k <= MAX_FOLDS:
         raise ValueError(f"k must be from 1 to {MAX_FOLDS}, not {k}")
     bits = [
-        F.when(F.rand(seed + f - 1) >= train_fraction, _bit(f)).otherwise(F.lit(0).cast("bigint"))
+        F.when(_draw(seed + f - 1, keys) >= train_fraction, _bit(f)).otherwise(F.lit(0).cast("bigint"))
         for f in range(1, k + 1)
     ]
     mask = bits[0]

@@ -21,9 +21,11 @@ from quire.operators import recommend as R
 from quire.operators import splits as S
 from quire.operators import train as T
 from quire.operators.dedup import insert_or_ignore
+from quire.operators.topk import top_items
 from quire.plans import fixtures as fx
 from quire.plans import reports as RP
 from quire import schemas
+from quire.sources import read_dump_statements
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -226,6 +228,18 @@ def q_rec_lines(spark, d):
     return R.lines_for_scores(_baseline_scores(spark, d), lookup, k=10)
 
 
+def q_factor_topk(spark, d):
+    """Bounded top-k search over factors of whole numbers (exact in any order of addition):
+    a user's rating count and sum against an item's greatest rating and rating count."""
+    normed = fx.normed(spark, d)
+    pair = lambda a, b: F.array(a.cast("double"), b.cast("double")).alias("features")
+    n, rating = F.count(F.lit(1)), F.col("book_rating")
+    users = normed.groupBy(F.col("user_id").alias("id")).agg(pair(n, F.sum(rating)))
+    items = normed.groupBy(F.col("item_id").alias("id")).agg(pair(F.max(rating), n))
+    lists = top_items(users, items, k=10).withColumnRenamed("id", "user_id")
+    return R.explode_recs(lists).select("user_id", "item_id", "rank", "score")
+
+
 # ------------------------------------------------------------------ dump
 
 def q_dump_normalize(spark, d):
@@ -249,22 +263,26 @@ def q_dump_parse_books(spark, d):
     return D.parse_dump_rows(lines, "BX_Books", schemas.BOOKS).drop("load_order")
 
 
-# ------------------------------------------------------------------ reports
+def q_dump_statements(spark, d):
+    """Statements over several lines and file splits, parsed."""
+    statements = read_dump_statements(spark, fx.statement_dump(spark, d))
+    return D.parse_dump_rows(statements, "BX-Books", schemas.BOOKS).drop("load_order")
 
-def _before(spark, d):
-    return fx.users(spark, d), fx.books(spark, d), fx.ratings(spark, d)
 
+# ------------------------------------------------------------------ reports
 
-def _after(spark, d):
-    return C.clean_users(fx.users(spark, d)), C.clean_books(fx.books(spark, d)), fx.clean(spark, d)
+def _clean_tables(spark, d):
+    return C.clean_users(fx.users(spark, d)), C.clean_books(fx.books(spark, d))
 
 
 def q_basics_report(spark, d):
-    return RP.basics_report(*_after(spark, d))
+    return RP.basics_report(*_clean_tables(spark, d), fx.clean(spark, d))
 
 
 def q_basics_delta(spark, d):
-    return RP.basics_delta(_before(spark, d), _after(spark, d))
+    users, books = fx.users(spark, d), fx.books(spark, d)
+    tagged = C.tag_rating_rules(fx.ratings(spark, d), books)
+    return RP.basics_delta((users, books), _clean_tables(spark, d), tagged)
 
 
 def q_model_report(spark, d):
@@ -317,10 +335,12 @@ QUERIES: dict[str, Query] = {
     "items_lookup_nobooks": q_items_lookup_nobooks,
     "rec_topk": q_rec_topk,
     "rec_lines": q_rec_lines,
+    "factor_topk": q_factor_topk,
     "dump_normalize": q_dump_normalize,
     "dump_insert_count": q_dump_insert_count,
     "dump_parse": q_dump_parse,
     "dump_parse_books": q_dump_parse_books,
+    "dump_statements": q_dump_statements,
     "basics_report": q_basics_report,
     "basics_delta": q_basics_delta,
     "model_report": q_model_report,

@@ -10,6 +10,8 @@ costly ones (ratings, clean, normed) are materialised once per application.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -229,3 +231,36 @@ def dump_lines(spark: SparkSession, folder: str) -> DataFrame:
         "value",
     )
     return headers.unionByName(rating_lines).unionByName(book_lines).unionByName(user_lines)
+
+
+_STATEMENTS: dict[tuple[str, str], str] = {}
+
+
+def broken_title(title: Column) -> Column:
+    """A title with text that looks like the end of a statement and of a line."""
+    return F.replace(title, F.lit(" "), F.lit(";\n"))
+
+
+def statement_dump(spark: SparkSession, folder: str) -> str:
+    """Folder of a dump of the catalogue as extended inserts: one tuple a line, up to 100 a
+    statement, titles with ``;`` and line breaks inside. Written once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STATEMENTS:
+        bk = full_books(spark, folder)
+        row = F.format_string(
+            "('%s','%s','%s',%d,'%s','%s','%s','%s')",
+            "isbn",
+            broken_title(mysql_quote(F.col("book_title"))),
+            mysql_quote(F.col("book_author")),
+            "year_of_publication",
+            mysql_quote(F.col("publisher")),
+            "image_url_s",
+            "image_url_m",
+            "image_url_l",
+        )
+        tuples = bk.groupBy(F.substring("isbn", 1, ISBN_LEN - 2)).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+        head = F.lit("-- it's the catalogue; all of it\nINSERT IGNORE INTO `BX-Books`\nVALUES\n")
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quire-statements-{uuid.uuid4().hex[:12]}"
+        tuples.select(F.concat(head, F.concat_ws(",\n", "rows"), F.lit(";"))).write.text(path)
+        _STATEMENTS[key] = path
+    return _STATEMENTS[key]

@@ -284,6 +284,14 @@ ORDER BY md5(CAST(user_id AS VARCHAR) || ':42'), user_id LIMIT 250"""),
     "items_lookup_nobooks": _q("SELECT DISTINCT isbn, item_id, CAST(isbn AS VARCHAR) AS book_title FROM normed"),
     "rec_topk": _q("SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM ranked"),
     "rec_lines": _q("SELECT user_id, n_items, line FROM rec_lines"),
+    "factor_topk": _q("""
+SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, score FROM (
+  SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM (
+    SELECT user_id, item_id, CAST(u.n * i.top + u.total * i.n AS DOUBLE) AS score
+    FROM (SELECT user_id, count(*) AS n, sum(book_rating) AS total FROM normed GROUP BY user_id) u
+    CROSS JOIN (SELECT item_id, max(book_rating) AS top, count(*) AS n FROM normed GROUP BY item_id) i))
+WHERE rank <= 10"""),
+    "dump_statements": _q("SELECT * REPLACE (replace(book_title, ' ', ';' || chr(10)) AS book_title) FROM full_books"),
     "dump_normalize": _q("SELECT source, value FROM dump_norm"),
     "dump_insert_count": _q("""
 SELECT source, CAST(sum(CASE WHEN upper(value) LIKE '%INSERT%' THEN 1 ELSE 0 END) AS BIGINT) AS n_insert_lines

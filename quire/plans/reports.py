@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from quire.operators.evaluate import rmse_histogram_table
 from quire.operators.profile import (
+    activity_table,
     histogram_of_counts,
-    per_key_counts,
     top_books_of_counts,
     top_of_counts,
 )
@@ -54,6 +54,11 @@ FIXED_LINES = (
     ("3.g", 2, 0, "+--------+-------+"),
 )
 
+# The lines around a report file.
+FRAME_BEGIN = "-------------------- BEGIN %s --------------------"
+FRAME_END = "-------------------- END %s --------------------"
+TEAM_LINE, DATE_LINE, DATABASE_LINE = "# Team: %s", "# Date: %s", "# Database name   %s"
+
 # The model report's text (sections 6.a-6.c).
 MODEL_FIXED_LINES = (
     ("6.b", 0, 0, "6.b) histogram of RMSE <table(bin, num occurrences UBCF, num occurrences IBCF)>"),
@@ -101,13 +106,19 @@ def basics_report(
 ) -> DataFrame:
     """Counts, two activity histograms and two top-k lists as report lines.
 
-    The ratings are scanned twice: once per user and once per book, each a
-    partial aggregate checkpointed as one row per key. The rating count, both
-    histograms and both top lists are derived from those two small tables."""
-    spark = ratings.sparkSession
-    ensure_checkpoint_dir(spark)
-    per_user = per_key_counts(ratings, user).checkpoint(eager=True)
-    per_book = per_key_counts(ratings, isbn).checkpoint(eager=True)
+    The ratings are scanned once, into ``profile.activity_table`` (one row per user and
+    per book, checkpointed); the rating count, both histograms and both top lists are
+    derived from it."""
+    ensure_checkpoint_dir(ratings.sparkSession)
+    activity = activity_table(ratings, user, isbn).checkpoint(eager=True)
+    return _basics(users, books, activity, "n_rows", "n_ratings", k, user, isbn)
+
+
+def _basics(users, books, activity, n_rows: str, n_ratings: str, k: int, user: str, isbn: str) -> DataFrame:
+    spark = activity.sparkSession
+    counts = [F.col(n_rows).alias("n_rows"), F.col(n_ratings).alias("n_ratings")]
+    per_user = activity.filter(~F.col("by_book")).select(user, *counts)
+    per_book = activity.filter("by_book").select(isbn, *counts)
     totals = {
         "users": users.agg(F.count(F.lit(1)).alias("n")),
         "books": books.agg(F.count(F.lit(1)).alias("n")),
@@ -141,11 +152,24 @@ def basics_report(
     return out
 
 
-def basics_delta(before: tuple[DataFrame, DataFrame, DataFrame], after: tuple[DataFrame, DataFrame, DataFrame], **kw) -> DataFrame:
-    """The profile report on raw and on clean tables, tagged ``stage``."""
-    b = basics_report(*before, **kw).select(F.lit("before").alias("stage"), "*")
-    a = basics_report(*after, **kw).select(F.lit("after").alias("stage"), "*")
-    return b.unionByName(a)
+def basics_delta(
+    before: tuple[DataFrame, DataFrame],
+    after: tuple[DataFrame, DataFrame],
+    tagged: DataFrame,
+    k: int = 10,
+    user: str = "user_id",
+    isbn: str = "isbn",
+) -> DataFrame:
+    """The profile report on raw and on clean tables, tagged ``stage``. ``before`` and
+    ``after`` are (users, books); ``tagged`` are the raw ratings with ``dropped_by``, null
+    for the clean ones (``clean.tag_rating_rules``). They are scanned once: each user and
+    book has its counts of all and of kept rows side by side."""
+    ensure_checkpoint_dir(tagged.sparkSession)
+    activity = activity_table(tagged, user, isbn, kept=F.col("dropped_by").isNull()).checkpoint(eager=True)
+    # A key without a kept row has no positive rating left: it is in no list or histogram.
+    raw = _basics(*before, activity, "n_rows", "n_ratings", k, user, isbn)
+    clean = _basics(*after, activity, "rows_kept", "ratings_kept", k, user, isbn)
+    return raw.select(F.lit("before").alias("stage"), "*").unionByName(clean.select(F.lit("after").alias("stage"), "*"))
 
 
 def model_report(
@@ -188,6 +212,16 @@ def model_report(
     return head.unionByName(hist_lines).unionByName(rec_lines).unionByName(_fixed(spark, MODEL_FIXED_LINES))
 
 
+def framed(report: DataFrame, name: str, team: str, date: str, database: str) -> DataFrame:
+    """The report between its BEGIN and END lines, with team, date and database; once for
+    each ``stage`` if it has stages."""
+    rows = [("", 0, i, text) for i, text in enumerate((FRAME_BEGIN % name, TEAM_LINE % team, DATE_LINE % date, DATABASE_LINE % database))]
+    frame = _fixed(report.sparkSession, [*rows, ("~", 0, 0, FRAME_END % name)])
+    if "stage" in report.columns:
+        frame = frame.withColumn("stage", F.explode(F.array(F.lit("before"), F.lit("after"))))
+    return report.unionByName(frame)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """Text file(s) in report order (a range-partitioned sort, so each task
     writes one contiguous range of lines); a ``stage`` column puts 'before' first."""

@@ -9,6 +9,7 @@ files instead of replaying the cleaning plan. ``run`` stores the k draws as one
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.ml.recommendation import ALSModel
@@ -24,6 +25,10 @@ from quire.session import ensure_checkpoint_dir
 from quire.sources.artifacts import load_splits, save_splits
 
 
+#: What tells rating rows apart: the draws do not depend on how rows are partitioned.
+SPLIT_KEYS = ("user_id", "isbn")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the (shared) checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -70,7 +75,7 @@ def trained_folds(
     share the fits."""
     key = (spark.sparkContext.applicationId, folder, k, seed)
     if key not in _TRAINED:
-        tagged = materialize(S.random_split_mask(fx.normed(spark, folder), k=k, seed=seed), "splits")
+        tagged = materialize(S.random_split_mask(fx.normed(spark, folder), k=k, seed=seed, keys=SPLIT_KEYS), "splits")
         models = T.train_folds(tagged, k=k, seed=seed)
         _TRAINED[key] = (tagged, models)
     return _TRAINED[key]
@@ -174,9 +179,13 @@ def run(
     n_users: int = 250,
     top_k: int = 10,
     timer=None,
+    team: str = "",
+    date: str | None = None,
 ) -> dict[str, str]:
     """The whole flow over the fixture tables of ``folder``, writing every artifact
-    under ``out`` (a shared folder). Returns the manifest entries.
+    into a folder of this run under ``out`` (shared by all executors). Returns the manifest
+    entries, which name every artifact. The manifest is published last: until then, and
+    if any stage fails, ``read_manifest(spark, out + "/manifest")`` gives the former run.
 
     ``timer(name, fn)`` wraps each stage (the benchmark times them). Every stage
     ends in a distributed write; the driver only ever receives small bounded
@@ -187,11 +196,12 @@ def run(
     from quire.operators import prepare as P
     from quire.operators import profile as PR
     from quire.plans import reports as RP
-    from quire.sources.artifacts import save_model, write_manifest
+    from quire.sources.artifacts import new_run, publish, run_folder, save_model
     from quire.sources.csv_io import write_csv
 
     stage = timer or (lambda name, fn: fn())
-    out = out.rstrip("/")
+    base, name = out.rstrip("/"), new_run()
+    out = run_folder(base, name)
     paths = {
         "ratings_raw": f"{out}/ratings_raw",
         "books_raw": f"{out}/books_raw",
@@ -210,7 +220,6 @@ def run(
         "lines_all": f"{out}/recommendations_all_users",
         "V.RMSE": f"{out}/v_rmse",
         "model_report": f"{out}/model.txt",
-        "manifest": f"{out}/manifest",
     }
     read = spark.read.parquet
 
@@ -239,7 +248,14 @@ def run(
     stage(
         "profile",
         lambda: RP.write_report(
-            RP.basics_delta((users_r, books_r, ratings_r), (users_c, books_c, clean_r)), paths["basics"]
+            RP.framed(
+                RP.basics_delta((users_r, books_r), (users_c, books_c), read(paths["tagged"])),
+                "basics.txt",
+                team,
+                date or datetime.date.today().isoformat(),
+                folder,
+            ),
+            paths["basics"],
         ),
     )
 
@@ -256,7 +272,7 @@ def run(
     def splits():
         # k independent draws kept as one test_mask column: the splits take the
         # size of the user-item table, not k copies of it.
-        S.random_split_mask(normed, k=k, seed=seed).write.mode("overwrite").parquet(paths["splits"])
+        S.random_split_mask(normed, k=k, seed=seed, keys=SPLIT_KEYS).write.mode("overwrite").parquet(paths["splits"])
         return read(paths["splits"])
 
     tagged = stage("splits", splits)
@@ -321,10 +337,10 @@ def run(
         report = RP.model_report(best_rows, cross_preds, lines, by=["model", "fold"])
         RP.write_report(report, paths["model_report"])
         entries = {
-            "UI": paths["UI"],
+            **paths,
             "R.UB": f"{out}/ALS_model_fold_{best['UBCF']}",
             "R.IB": f"{out}/ALS_model_fold_{best['IBCF']}",
-            "V.RMSE": paths["V.RMSE"],
+            **{f"model.{f}": f"{out}/ALS_model_fold_{f}" for f in models},
         }
         filters = {}
         for f in range(1, k + 1):
@@ -332,7 +348,7 @@ def run(
                 name = f"eval_sets.{f}.{split}"
                 entries[name] = paths["splits"]
                 filters[name] = f"(test_mask & {1 << (f - 1)}) {test}"
-        write_manifest(spark, entries, paths["manifest"], filters)
+        publish(spark, entries, base, name, filters)
         return entries
 
     return stage("package", package)
