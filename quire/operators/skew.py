@@ -119,11 +119,13 @@ def join_small(
     how: str = "inner",
     counts=None,
     n_col: str = "_n",
+    keep: bool = True,
 ) -> DataFrame:
     """Join ``big`` with a one-row-per-key ``small`` side: broadcast behind a size
     check, salted shuffle join beyond it.
 
-    ``small`` is checkpointed (it is read twice: measured, then joined). Up to
+    ``small`` is checkpointed (it is read twice: measured, then joined), or with
+    ``keep=False``, for one that is cheap to make again, computed twice. Up to
     ``spark.quire.broadcastRows`` rows and ``spark.quire.broadcastBytes`` bytes it is
     broadcast, a proven bound, and ``big`` is not shuffled at all. Beyond that the join
     shuffles through
@@ -133,7 +135,8 @@ def join_small(
     spark = big.sparkSession
     limit = int(spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
     most = int(spark.conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_BROADCAST_BYTES)))
-    small = small.checkpoint(eager=True)
+    if keep:
+        small = small.checkpoint(eager=True)
     rows, size = measured(small)
     if rows <= limit and size <= most:
         keys = [key] if isinstance(key, str) else list(key)

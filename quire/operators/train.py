@@ -151,7 +151,7 @@ def cross_predict(models: dict[int, ALSModel], tagged: DataFrame, own_fold_only:
         stack = stack.withColumn(key, F.col(key).cast(tests.schema[key].dataType))
         # Columns of ``tests`` alone: the hot keys are those of the test rows.
         counts = partial(_key_counts, test_rows(tagged, max(models)), key)
-        tests = join_small(tests, stack, key, "inner", counts=counts)
+        tests = join_small(tests, stack, key, "inner", counts=counts, keep=False)
     scored = []
     for m, model in sorted(models.items()):
         value = _dot(f"_user_{m}", f"_item_{m}", model.rank)

@@ -288,7 +288,8 @@ def run(
     def cross():
         # All 25 (model, test set) predictions written once; evaluation, the RMSE
         # histogram and V.RMSE all read this file instead of re-scoring.
-        T.cross_predict(models, tagged).write.mode("overwrite").partitionBy("model").parquet(
+        columns = ["user_id", "item_id", "book_rating", "norm", "fold", "prediction", "model"]
+        T.cross_predict(models, tagged).select(*columns).write.mode("overwrite").partitionBy("model").parquet(
             paths["cross_preds"]
         )
         preds = read(paths["cross_preds"])
