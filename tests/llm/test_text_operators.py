@@ -184,7 +184,7 @@ def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
 
     from quire.llm import surrogates as module
 
-    monkeypatch.setattr(module, "surrogate_of", lambda key: F.concat(F.lit("v"), F.pmod(F.xxhash64("canon", "draw"), F.lit(12)).cast("string")))
+    monkeypatch.setattr(module, "surrogate_of", lambda: F.concat(F.lit("v"), F.pmod(F.xxhash64("canon", "draw"), F.lit(12)).cast("string")))
     entities = spark.createDataFrame([("email", f"e{i}") for i in range(8)] + [("email", "v3")], "type string, canon string")
     rows = module.surrogates(entities, "k").collect()
     assert len({r["surrogate"] for r in rows}) == 9 and "v3" not in {r["surrogate"] for r in rows}
