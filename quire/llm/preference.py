@@ -57,6 +57,7 @@ def preference_pairs(pairs: DataFrame) -> DataFrame:
 
     A side without turns, or null, is an empty conversation: the prompt is then empty and the
     other side all completion. Equal conversations have an empty completion on both sides.
+    Repeated rows stay, an empty table gives an empty one, texts are rendered whole.
     """
     none = "array<struct<role:string,text:string>>"
     a, b = (F.coalesce(c, F.array().cast(none)) for c in ("chosen", "rejected"))
@@ -79,3 +80,26 @@ def neighbours(conversations: DataFrame) -> DataFrame:
     a = side.filter(even).select("pair_id", F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen"))
     b = side.filter(~even).select("pair_id", F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected"))
     return a.join(b, "pair_id", "full")
+
+
+def other_answers(conversations: DataFrame) -> DataFrame:
+    """(pair_id, chosen, rejected, answer_id) of every conversation (conv_id, turns): as it is,
+    and with the text of its last assistant turn taken from the last one of conversation
+    ``answer_id``, its neighbour (2k and 2k + 1 are neighbours). Where either has no assistant
+    turn, or there is no neighbour, the rejected side is null."""
+    said = F.filter("turns", lambda t: t["role"] == ASSISTANT)
+    answers = conversations.select(
+        F.col("conv_id").bitwiseXOR(F.lit(1).cast("long")).alias("pair_id"),
+        F.col("conv_id").alias("answer_id"),
+        F.try_element_at(said, F.lit(-1))["text"].alias("_answer"),
+    )
+    own = conversations.select(F.col("conv_id").cast("long").alias("pair_id"), F.col("turns").alias("chosen"))
+    # Counted from the end; 0 where there is none.
+    back = F.array_position(F.reverse(F.transform("chosen", lambda t: t["role"])), ASSISTANT)
+    at = F.size("chosen") - back
+
+    def changed(t: Column, i: Column) -> Column:
+        return F.struct(t["role"].alias("role"), F.when(i == at, F.col("_answer")).otherwise(t["text"]).alias("text"))
+
+    rejected = F.when((back > 0) & F.col("_answer").isNotNull(), F.transform("chosen", changed))
+    return own.join(answers, "pair_id", "left").select("pair_id", "chosen", rejected.alias("rejected"), "answer_id")

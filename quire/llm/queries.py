@@ -13,7 +13,7 @@ from .decontaminate import contamination
 from .line_dedup import line_dedup
 from .lm_score import cross_entropy_difference, with_target
 from .ngram_join import ngram_join
-from .preference import neighbours, preference_pairs, turns_of
+from .preference import other_answers, preference_pairs, turns_of
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
 from .ranked_search import ranked_search
@@ -62,7 +62,8 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preference_pairs(neighbours(turns_of(read(spark, sf_dir, "conversations"))))
+    """Every conversation against itself with another one's last answer."""
+    return preference_pairs(other_answers(turns_of(read(spark, sf_dir, "conversations"))))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,9 @@ from quire.operators.skew import join_small
 from .common import ascii_lower, materialize
 
 DAMPING = 0.85
-ITERATIONS = 12
+#: Steps are added until one moves less of the seeds' weight. Each moves DAMPING times the
+#: last at most, so there are 57 at most.
+TOLERANCE = 1e-4
 #: A host is blocked if distrust > RATIO * trust.
 RATIO = 1.0
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -42,16 +44,21 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
 
 
 def host_links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """(src, dst, n): links between different hosts; pages has host and ``html``."""
-    found = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(r"(?i)href\s*=\s*[\"']?([a-z][a-z0-9+.-]*://[^\"'\s>]+)"), F.lit(1))
+    """(src, dst, n): links between different hosts, ``//host/`` ones among them; pages has
+    host and ``html``."""
+    found = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(r"(?i)href\s*=\s*[\"']?((?:[a-z][a-z0-9+.-]*:)?//[^\"'\s>]+)"), F.lit(1))
     links = pages.filter("host <> ''").select(F.col("host").alias("src"), F.explode(found).alias("url"))
-    links = links.select("src", host_of(F.col("url")).alias("dst")).filter("dst <> '' AND src <> dst")
+    url = F.when(F.startswith("url", F.lit("//")), F.concat(F.lit("http:"), "url")).otherwise(F.col("url"))
+    links = links.select("src", host_of(url).alias("dst")).filter("dst <> '' AND src <> dst")
     return links.groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def personalised_rank(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
-    """(host, rank) from seeds (host, weight; weights of any sum) over edges (src, dst, n).
-    What hosts without links hold returns to the seeds."""
+def personalised_rank(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, rank) from seeds (host, weight; weights of any sum) over edges (src, dst, n),
+    to within ``tolerance``. What hosts without links hold returns to the seeds.
+
+    So the rank is, up to a factor, the sum of what reaches a host from the seeds in 0, 1, 2
+    ... steps, each damped: the steps are added up until one moves less than ``tolerance``."""
     total = seeds.agg(F.sum("weight")).first()[0]
     if not total:
         return seeds.select("host", F.lit(0.0).alias("rank")).limit(0)
@@ -60,21 +67,18 @@ def personalised_rank(edges: DataFrame, seeds: DataFrame, iterations: int = ITER
     degree = materialize(degree, "degrees")
     share = join_small(edges, degree.select("src", "out"), "src", "inner", counts=lambda: degree.select("src", "_n"))
     share = materialize(share.select("src", "dst", (F.col("n") / F.col("out")).alias("w")), "shares")
-    rank = start.select("host", F.col("s").alias("rank"))
-    if share.isEmpty():
-        return rank
-    for _ in range(iterations):
-        own = rank.withColumnsRenamed({"host": "src"})
+    step = start.select("host", F.col("s").alias("rank"))
+    whole, mass, total = step, 1.0, 1.0
+    while mass >= tolerance:
+        own = step.withColumnsRenamed({"host": "src"})
         moved = join_small(share, own, "src", "inner", counts=lambda: degree.select("src", "_n"))
-        got = moved.groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("rank") * F.col("w")).alias("got"))
-        got = materialize(got, "moved")
-        lost = 1.0 - (got.agg(F.sum("got")).first()[0] or 0.0)
-        rank = start.join(got, "host", "full").select(
-            "host",
-            ((1 - DAMPING + DAMPING * lost) * F.coalesce("s", F.lit(0.0)) + DAMPING * F.coalesce("got", F.lit(0.0))).alias("rank"),
-        )
-        rank = materialize(rank, "rank")
-    return rank
+        step = moved.groupBy(F.col("dst").alias("host")).agg((DAMPING * F.sum(F.col("rank") * F.col("w"))).alias("rank"))
+        step = materialize(step, "step")
+        mass = step.agg(F.sum("rank")).first()[0] or 0.0
+        total += mass
+        if mass:
+            whole = whole.unionByName(step)
+    return whole.groupBy("host").agg((F.sum("rank") / total).alias("rank"))
 
 
 def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str]], url: str = "url", html: str = "html") -> DataFrame:
@@ -83,10 +87,12 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str]], url: str = "u
     A rule fits its host and the subdomains, where the path starts with the rule's; the
     longest decides. A null url, or one without ://, has an empty host and path: no rule,
     no links, allowed. Null html has no links. Repeated rows count as often as they
-    stand. An empty table gives an empty result.
+    stand. An empty table gives an empty result. A host of equal trust and distrust, none
+    of either among them, is allowed. Input columns named like an output one, in any case,
+    are replaced.
     """
     new = ("host", "path", "rule", "trust", "distrust", "verdict")
-    kept = [c for c in pages.columns if c not in new]
+    kept = [c for c in pages.columns if c.lower() not in new]
     own = pages.select(*kept, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     own = own.withColumns({"rule": rule, "verdict": verdict})
