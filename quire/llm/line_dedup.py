@@ -127,10 +127,12 @@ def repeated_lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         .drop("last")
     )
     shared = materialize(shared, "shared-lines")
-    # All line hashes are probes; the repeated ones among them are at hand, the others are fewer
-    # than a document has lines, and even out over the shards.
+    # All line hashes are probes, so the shards follow from all lines; which are hot follows
+    # from the repeated ones, as the others even out over the shards.
     held = shared.agg(F.sum("n")).first()[0] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // SHARD_PROBES))
+    breaks = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit("")))
+    probes = docs.agg(F.sum(breaks.cast("long") + 1)).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-probes // SHARD_PROBES))
     shard_of = F.pmod(F.col("first"), F.lit(shards)).cast("int")
     shared = shared.withColumn("shard", shard_of)
     least = max(2 * SHARD_PROBES, held // MAX_HOT)

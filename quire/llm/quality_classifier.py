@@ -90,8 +90,9 @@ def strength(groups: DataFrame, prior: str) -> float:
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, host: str, path: str, text: str = "text", doc_id: str = "doc_id", label: str = "quality") -> DataFrame:
-    """``docs`` with log_odds (the text's own), host_posterior, path_posterior, quality
-    (the final probability) and kept (quality of a half or more).
+    """``docs`` with log_odds (the text's own), host_posterior, path_posterior (of the other
+    documents there: the text's own evidence counts once), quality (the final probability)
+    and kept (quality of a half or more).
 
     host and path are columns; null is a group like any other, paths are told apart within
     their host. ``labels`` has doc_id and a 0/1 label; null labels are left out, of several
@@ -122,20 +123,25 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, host: str, path: str,
     mean = 0.5 if mean is None else float(mean)
     hosts = paths.groupBy("_host").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
     hosts = materialize(hosts.withColumn("mean", F.col("total") / F.col("n")).withColumn("global", F.lit(mean)), "hosts")
-    m = strength(hosts, "global")
-    hosts = hosts.select(F.col("_host").alias("_h"), ((F.col("total") + m * mean) / (F.col("n") + m)).alias("host_posterior"))
+    m_host = strength(hosts, "global")
+    posterior_of_host = (F.col("total") + m_host * mean) / (F.col("n") + m_host)
+    hosts = hosts.select(F.col("_host").alias("_h"), posterior_of_host.alias("host_posterior"), F.col("n").alias("_host_n"), F.col("total").alias("_host_total"))
     paths = paths.join(hosts, F.col("_host").eqNullSafe(F.col("_h"))).drop("_h").withColumn("mean", F.col("total") / F.col("n"))
     paths = materialize(paths, "path-posteriors")
-    m = strength(paths, "host_posterior")
+    m_path = strength(paths, "host_posterior")
     key = F.struct(F.coalesce(F.col("_host").cast("string"), F.lit("\0")).alias("h"), F.coalesce(F.col("_path").cast("string"), F.lit("\0")).alias("p"))
-    posterior = paths.select(
-        F.to_json(key).alias("_site"), "host_posterior", ((F.col("total") + m * F.col("host_posterior")) / (F.col("n") + m)).alias("path_posterior"), F.col("n").alias("_n")
-    )
+    sums = paths.select(F.to_json(key).alias("_site"), "_host_n", "_host_total", F.col("n").alias("_n"), F.col("total").alias("_total"))
     new = ("log_odds", "host_posterior", "path_posterior", "quality", "kept")
     kept = [c for c in docs.columns if c not in new]
     site = F.to_json(F.struct(F.coalesce(F.col(host).cast("string"), F.lit("\0")).alias("h"), F.coalesce(F.col(path).cast("string"), F.lit("\0")).alias("p")))
     found = scored.select(*kept, "log_odds", site.alias("_site"))
-    found = join_small(found, posterior.drop("_n"), "_site", "left", counts=lambda: posterior.select("_site", "_n"))
+    found = join_small(found, sums, "_site", "left", counts=lambda: sums.select("_site", "_n"))
+    # Without the document itself, whose evidence is its log_odds.
+    mine = F.round(p, 9)
+    of_host = (F.col("_host_total") - mine + m_host * mean) / (F.col("_host_n") - 1 + m_host)
+    found = found.withColumn("host_posterior", of_host)
+    of_path = (F.col("_total") - mine + m_path * F.col("host_posterior")) / (F.col("_n") - 1 + m_path)
+    found = found.withColumn("path_posterior", of_path)
     z = F.col("log_odds") + logit(F.col("path_posterior")) - logit(F.lit(mean))
     quality = 1 / (1 + F.exp(-z))
     return found.select(*kept, "log_odds", "host_posterior", "path_posterior", quality.alias("quality"), (z >= 0).alias("kept"))
