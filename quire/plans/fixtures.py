@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.clean import clean_ratings
-from quire.operators.dedup import insert_or_ignore
+from quire.operators.dedup import insert_or_ignore, spread
 from quire.operators.prepare import prepare
 from quire.operators.splits import hash_splits
 from quire.operators.train import item_mean_predict
@@ -46,17 +46,20 @@ _INGESTED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def ingested(name: str):
-    """Materialise a view once per application and input folder, as a reliable
-    checkpoint in the shared checkpoint folder (the equivalent of loading the
+    """Materialise a view once per application and input folder, as Parquet
+    in the shared checkpoint folder (the equivalent of loading the
     dump into a database before cleaning). Every query that needs the view
-    reads that copy instead of re-deriving it from the driver tables."""
+    reads that copy, and of it the columns it uses, instead of re-deriving it from
+    the driver tables."""
 
     def wrap(build):
         def view(spark: SparkSession, folder: str) -> DataFrame:
             key = (spark.sparkContext.applicationId, folder, name)
             if key not in _INGESTED:
-                ensure_checkpoint_dir(spark)
-                _INGESTED[key] = build(spark, folder).checkpoint(eager=True)
+                built = build(spark, folder)
+                path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quire-{name}-{uuid.uuid4().hex[:12]}"
+                built.write.parquet(path)
+                _INGESTED[key] = spark.read.schema(built.schema).parquet(path)
             return _INGESTED[key]
 
         view.__doc__ = build.__doc__
@@ -66,12 +69,19 @@ def ingested(name: str):
     return wrap
 
 
+def n_raw_ratings(spark: SparkSession, folder: str) -> int:
+    """Rows of the purchase lines, as their files state it."""
+    return read_table(spark, folder, "lineitem").count()
+
+
 def raw_ratings(spark: SparkSession, folder: str) -> DataFrame:
     """One rating per purchase line (duplicates per user and book included)."""
+    n = n_raw_ratings(spark, folder)
     li = read_table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_suppkey", "l_discount"
     )
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    li, orders = spread(li, n, "l_orderkey"), spread(orders, n, "o_orderkey")
     joined = li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "inner")
     zero = (F.col("o_custkey") % ZERO_USER_EVERY == 0) | (F.col("l_partkey") % ZERO_ITEM_EVERY == 0)
     return joined.select(
@@ -88,7 +98,8 @@ def raw_ratings(spark: SparkSession, folder: str) -> DataFrame:
 @ingested("ratings")
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
     """Insert-or-ignore on (user, book): the first purchase line wins."""
-    deduped = insert_or_ignore(raw_ratings(spark, folder), ["user_id", "isbn"], list(LOAD_ORDER))
+    raw, n = raw_ratings(spark, folder), n_raw_ratings(spark, folder)
+    deduped = insert_or_ignore(raw, ["user_id", "isbn"], list(LOAD_ORDER), rows=n)
     return deduped.select("user_id", "isbn", "item_key", "book_rating")
 
 
