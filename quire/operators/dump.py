@@ -8,6 +8,8 @@ tuple apart into its fields in the same way.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +47,7 @@ FIELD_PATTERN = rf"(?s)({TEXT}|[^,'\s][^,']*+)"
 
 def normalize_line(value: Column, rules=DUMP_RULES) -> Column:
     for pattern, replacement, kind in rules:
-        if kind == "text":
+        if kind == "text" or kind == "regex" and re.fullmatch(r"[\w`-]+", pattern):  # a pattern of plain characters
             value = F.replace(value, F.lit(pattern), F.lit(replacement))
         else:
             flags = "(?i)" if kind == "regex-i" else ""
@@ -90,7 +92,7 @@ def _field(token: Column, kind: T.DataType) -> Column:
         return value
     cast = value.try_cast(kind)
     bad = F.raise_error(F.concat(F.lit(f"no {kind.simpleString()} in the dump: "), token)).cast(kind)
-    return F.when(value.isNotNull() & cast.isNull(), bad).otherwise(cast)
+    return F.coalesce(cast, F.when(value.isNotNull(), bad))
 
 
 def parse_dump_rows(
@@ -113,16 +115,22 @@ def parse_dump_rows(
     """
     name = rf"`?\Q{table}\E`?"
     start = rf"(?is)^\s*INSERT\s+(?:\w+\s+)*INTO\s+{name}(?=[\s(])"
-    body = rf"(?is)^\s*INSERT\s+(?:\w+\s+)*INTO\s+{name}\s*(?:\([^()]*\)\s*)?VALUES\s*(\(.*;)\s*$"
-    value = F.regexp_extract(F.col(column), body, 1)
-    whole = F.when(value != "", value).otherwise(
-        F.raise_error(F.concat(F.lit("statement is not whole: "), F.left(F.col(column), F.lit(200)))).cast("string")
-    )
-    # The plain test first: cheaper than the pattern on lines of other tables.
+    body = rf"(?is)^\s*INSERT\s+(?:\w+\s+)*INTO\s+{name}(?=[\s(])\s*(?:\([^()]*\)\s*)?VALUES\s*(\(.*;)\s*$"
+    # The plain test first: cheaper than the pattern on lines of other tables. No filter here:
+    # the optimizer would move it, with every rule that made the line, below the rewrite and
+    # evaluate them once more a condition.
     named = F.upper(F.col(column)).contains(table.upper())
-    rows = lines.filter(named & F.col(column).rlike(start)).select(
+    statements = lines.select(
         F.col(order).alias("_line"),
-        F.posexplode(F.regexp_extract_all(whole, F.lit(TUPLE_PATTERN), 1)).alias("_pos", "_tuple"),
+        F.col(column).alias("_value"),
+        F.when(named, F.regexp_extract(F.col(column), body, 1)).alias("_body"),
+    )
+    broken = F.raise_error(F.concat(F.lit("statement is not whole: "), F.left(F.col("_value"), F.lit(200))))
+    tuples = F.when(F.col("_body") != "", F.regexp_extract_all(F.col("_body"), F.lit(TUPLE_PATTERN), 1)).when(
+        (F.col("_body") == "") & F.col("_value").rlike(start), broken.cast("array<string>")
+    )
+    rows = statements.select("_line", F.posexplode_outer(tuples).alias("_pos", "_tuple")).filter(
+        F.col("_tuple").isNotNull()
     )
     found = F.regexp_extract_all(F.col("_tuple"), F.lit(FIELD_PATTERN), 1)
     n = len(schema.fields)
