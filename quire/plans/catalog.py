@@ -187,8 +187,8 @@ def q_rmse_hist(spark, d):
 
 
 def _baseline_cross(spark, d):
-    tagged = S.hash_splits(fx.normed(spark, d), k=5, seed=42)
-    return E.cross_evaluate(T.item_mean_cross_predict(tagged))
+    tagged = S.hash_splits(fx.normed(spark, d), k=5, seed=42, mask=True)
+    return E.cross_evaluate(T.item_mean_cross_predict(tagged, wide=True))
 
 
 def q_cross_eval(spark, d):
@@ -253,7 +253,8 @@ def q_dump_insert_count(spark, d):
 def q_dump_parse(spark, d):
     lines = D.normalize_dump(fx.dump_lines(spark, d))
     rows = D.parse_dump_rows(lines, "BX_Book_Ratings", schemas.RATINGS)
-    return insert_or_ignore(rows, ["user_id", "isbn"], ["load_order"]).select(
+    n = fx.n_raw_ratings(spark, d)
+    return insert_or_ignore(rows, ["user_id", "isbn"], ["load_order"], rows=n).select(
         "user_id", "isbn", "book_rating"
     )
 
