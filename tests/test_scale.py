@@ -1,5 +1,6 @@
 """What bounds the disk, the shuffles and the repeated work of the operators."""
 
+import os
 import threading
 import time
 
@@ -74,3 +75,23 @@ def test_wide_cross_evaluation_equals_pairs(spark):
         for m, r in got.items():
             assert abs(r["ub_rmse_avg"] - want[m]["ub_rmse_avg"]) < 1e-9
             assert abs(r["ib_rmse_avg"] - want[m]["ib_rmse_avg"]) < 1e-9
+
+
+def _shuffle_files(folder):
+    return {f for _, _, files in os.walk(folder) for f in files if f.startswith("shuffle_") and f.endswith(".data")}
+
+
+def test_a_fit_leaves_no_shuffles(spark):
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    folders = [d for d in local if os.path.isdir(d)]
+    files = lambda: set().union(*map(_shuffle_files, folders))
+    rows = [(u, i, float((u * i) % 5)) for u in range(30) for i in range(20) if (u + i) % 3]
+    rated = spark.createDataFrame(rows, "user_id int, item_id int, norm double").checkpoint(eager=True)
+    old = files()
+    model = T.train_als(rated, maxIter=2)
+    until = time.time() + 20
+    while files() - old and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - old
+    assert model.userFactors.count() == 30 and model.itemFactors.count() == 20
+    assert model.getUserCol() == "user_id" and model.transform(rated).filter("prediction IS NOT NULL").count() == len(rows)
