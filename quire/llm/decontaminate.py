@@ -45,32 +45,34 @@ def marked_words(text: Column) -> Column:
     return F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def literal_words(words: Column) -> Column:
-    """Marked words, lower-cased, without their marks."""
-    return F.transform(words, lambda w: F.lower(F.when(w < "\u0004", F.substring(w, 2, 1 << 30)).otherwise(w)))
+def word_codes(words: Column) -> Column:
+    """Per marked word, the hash of its lower-cased literal with its mark (0: none) in the last two bits."""
 
+    def code(w: Column) -> Column:
+        literal = F.lower(F.when(w < "\u0004", F.substring(w, 2, 1 << 30)).otherwise(w))
+        mark = F.when(w < "\u0004", F.ascii(w)).otherwise(F.lit(0))
+        return F.shiftleft(F.xxhash64(literal), 2).bitwiseOR(mark.cast("long"))
 
-def template_words(words: Column) -> Column:
-    """Marked words, lower-cased, each slot as its placeholder alone."""
-    return F.transform(words, lambda w: F.when(w < "\u0004", F.substring(w, 1, 1)).otherwise(F.lower(w)))
+    return F.transform(words, code)
 
 
 def _windows(rows: DataFrame, key: str, words: Column) -> DataFrame:
-    """(key, at, _hash): the windows of marked words, from 1; a shorter text is one window."""
-
-    def hash_at(p: Column, i: Column) -> Column:
-        window = F.slice(p["template"], i, WINDOW)
-        fixed = F.size(F.filter(window, lambda w: w >= "\u0004")) >= F.least(F.lit(FIXED_WORDS), F.size(window))
-        return F.when(fixed, F.xxhash64(window)).otherwise(F.xxhash64(F.lit("literal"), F.slice(p["literal"], i, WINDOW)))
-
-    def hashes(p: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(p["template"]) - (WINDOW - 1))), lambda i: hash_at(p, i))
-
-    # Arrays of one element bind a value, so that it is computed once a text, not once a window.
-    both = F.transform(F.array(words), lambda w: F.struct(template_words(w).alias("template"), literal_words(w).alias("literal")))
-    both = F.filter(both, lambda p: F.size(p["template"]) > 0)
-    found = rows.select(key, F.posexplode(F.flatten(F.transform(both, hashes))).alias("at", "_hash"))
-    return found.withColumn("at", F.col("at") + 1)
+    """(key, at, _hash): the windows of marked words, from 1; a shorter text is one window.
+
+    A word is hashed once, and a window from its words' codes after the rows are exploded:
+    there Spark compiles the expressions, which it does not do inside a lambda."""
+    coded = rows.select(key, word_codes(words).alias("_codes"))
+    n = F.size("_codes")
+    # No sequence, hence no row, for a text without words.
+    starts = F.when(n > 0, F.sequence(F.lit(1), F.greatest(F.lit(1), n - (WINDOW - 1))))
+    found = coded.select(key, "_codes", F.explode(starts).alias("at"))
+    codes = [F.get("_codes", F.col("at") + (i - 1)) for i in range(WINDOW)]  # null behind a short text
+    marks = [c.bitwiseAND(F.lit(3).cast("long")) for c in codes]
+    template = F.xxhash64(*[F.when(m == 0, c).otherwise(m) for c, m in zip(codes, marks)])
+    literal = F.xxhash64(F.lit("literal"), *[c.bitwiseAND(F.lit(-4).cast("long")) for c in codes])
+    fixed = sum((F.when(m == 0, 1).otherwise(0) for m in marks), F.lit(0))
+    whole = fixed >= F.least(F.lit(FIXED_WORDS), n)
+    return found.select(key, "at", F.when(whole, template).otherwise(literal).alias("_hash"))
 
 
 def contamination(

@@ -248,3 +248,28 @@ def test_names_of_many_parts_and_untitled_repeats(frame):
     m = re.fullmatch(r"Mr (\w+) (\w+) came; Mr\n(\w+)  (\w+) left\. Mr (\w+)'s hat stayed, and (\w+) (\w+) paid\. Smithers did not\.", out[1])
     a, b = m[1], m[2]
     assert m.groups() == (a, b, a, b, b, a, b) and a != b and not {a, b} & {"John", "Smith"}
+
+
+def test_windows_are_hashed_by_compiled_code(spark, frame):
+    """A window's hash comes from codes of whole words, outside of lambdas; the windows are those of brute force."""
+    from pyspark.sql import functions as F
+
+    from quire.llm import decontaminate as module
+
+    texts = [None, "", "...", "one", "One 2 three", "a b c d e f g h", "1 2 3 4 5 6 7 8 9", "x " * 30, "he saw Ann and Ben and Cy and Di 5 km 7 km away", "\x00 a\x01b 3\x002 c"]
+    rows = frame(list(enumerate(texts)) + [(0, "two rows of one id")])
+    words = rows.select("doc_id", module.marked_words(F.col("text")).alias("words"))
+    found = module._windows(words, "doc_id", F.col("words"))
+    lambdas = [x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "lambda" in x and "xxhash64" in x]
+    assert lambdas and all("_hash" not in x for x in lambdas)
+
+    def key(part):
+        fixed = sum(w >= "\x04" for w in part) >= min(module.FIXED_WORDS, len(part))
+        return (fixed, *(w[:1] if fixed and w < "\x04" else w[1:].lower() if w < "\x04" else w.lower() for w in part))
+
+    want = [(r[0], i + 1, key(r[1][i : i + 8])) for r in words.collect() if r[1] for i in range(max(1, len(r[1]) - 7))]
+    got = [(r["doc_id"], r["at"], r["_hash"]) for r in found.collect()]
+    assert sorted(x[:2] for x in want) == sorted(x[:2] for x in got)
+    keys, hashes = {}, {}
+    for (d, at, k), h in zip(sorted(want, key=lambda x: x[:2]), (x[2] for x in sorted(got, key=lambda x: x[:2]))):
+        assert keys.setdefault(h, k) == k and hashes.setdefault(k, h) == h
