@@ -259,3 +259,56 @@ def test_long_conversation():
     cost, audit = cheapest_edits(initials, [False] * len(initials), [False] * len(initials))
     assert len(audit.replace("I", "")) == len(initials)
     assert cost == 2 * audit.count("D") + 5 * audit.count("I") + audit.count("R")
+
+
+# --- characters outside an alphabet
+
+
+def test_characters_outside_the_alphabet_have_their_own_figures():
+    import numpy as np
+
+    from quire.llm import char_lm
+
+    common = [chr(0x4E00 + i) for i in range(200)]
+    draw = random.Random(3)
+    texts = ["".join(draw.choice(common) for _ in range(400)).encode() for _ in range(40)]
+    count = Counter("".join(t.decode() for t in texts))
+    alphabet = [ord(c) for c, _ in count.most_common(char_lm.SYMBOLS - char_lm.FIRST)]
+    table = char_lm.alphabet_table(alphabet)
+    codes, sizes, points = char_lm.gram_codes(texts, table)
+    assert list(points) == [ord(c) for t in texts for c in t.decode()] and sizes.sum() == len(points)
+    grams, n = np.unique(codes, return_counts=True)
+    rest = {ord(c): k for c, k in count.items() if ord(c) not in alphabet}
+    model = char_lm.estimate(grams, n, np.array(list(rest)), np.array(list(rest.values())))
+    seen = np.array(sorted(rest))
+    p = np.exp(model.logp_of_other(seen))
+    assert abs(p.sum() + (char_lm.CODE_POINTS - len(seen)) * np.exp(model.other_floor) - 1) < 1e-9
+    total = sum(rest.values())
+    for c, x in zip(seen, p):
+        assert abs(x - rest[c] / total) < 0.5 / total
+
+    def loss(text):
+        codes, sizes, points = char_lm.gram_codes([text.encode()], table)
+        return -model.logp_of_characters(codes, points).sum() / sizes[0]
+
+    # Both texts are all outside the alphabet: the one of signs never seen is far less likely.
+    known = "".join(chr(c) for c in list(rest)[:50])
+    assert loss("".join(chr(0x9000 + i) for i in range(50))) > loss(known) + 5
+    empty = char_lm.estimate(grams, n, np.zeros(0, dtype=np.int64), np.zeros(0))
+    assert empty.logp_of_other(np.array([65])) == [-np.log(char_lm.CODE_POINTS)]
+
+
+def test_a_script_of_many_signs_is_judged_by_its_signs(spark):
+    from quire.llm.quality_rules import quality_rules
+
+    draw = random.Random(5)
+    signs = [chr(0x4E00 + i) for i in range(600)]
+    weights = [1 / (i + 5) for i in range(600)]
+    text = lambda some, w: " ".join("".join(draw.choices(some, w, k=2)) + str(draw.randrange(9)) for _ in range(120))
+    rare = [chr(0xAC00 + 7 * i) for i in range(600)]
+    for others in (0, 700):  # the language's model broadcast, or met in groups
+        rows = [(i, text(signs, weights), "zh") for i in range(60)] + [(100, text(rare, [1] * 600), "zh")]
+        rows += [(1000 + i, "some plain words of another language " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(150)), f"l{i % 2}") for i in range(others)]
+        out = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+        assert sum(out[i]["kept"] for i in range(60)) >= 55
+        assert not out[100]["kept"] and out[100]["log_perplexity"] > max(out[i]["log_perplexity"] for i in range(60))
