@@ -12,6 +12,7 @@ from quire.operators import dump as D
 from quire.operators import evaluate as E
 from quire.operators import splits as S
 from quire.operators import train as T
+from quire.session import let_go
 
 
 def test_als_holds_one_iteration_and_two_fits(spark, monkeypatch):
@@ -89,9 +90,10 @@ def test_a_fit_leaves_no_shuffles(spark):
     rated = spark.createDataFrame(rows, "user_id int, item_id int, norm double").checkpoint(eager=True)
     old = files()
     model = T.train_als(rated, maxIter=2)
-    until = time.time() + 20
+    until = time.time() + 60
     while files() - old and time.time() < until:
-        time.sleep(0.2)
+        let_go(spark)  # cleaning is asynchronous; as long as the model held them, no pass would free them
+        time.sleep(0.5)
     assert not files() - old
     assert model.userFactors.count() == 30 and model.itemFactors.count() == 20
     assert model.getUserCol() == "user_id" and model.transform(rated).filter("prediction IS NOT NULL").count() == len(rows)
