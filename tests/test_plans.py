@@ -144,3 +144,24 @@ def test_broadcasts_are_bounded_by_bytes(spark):
     finally:
         spark.conf.unset(skew.BROADCAST_BYTES_CONF)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_cross_scoring_keeps_a_test_row_one_row(spark):
+    tagged = S.random_split_mask(fx.normed(spark, SF0001), k=3, keys=("user_id", "isbn"))
+    models = T.train_folds(tagged, k=3, seed=5, maxIter=3)
+    long_, wide = T.cross_predict(models, tagged), T.cross_predict(models, tagged, wide=True)
+    keys = ["user_id", "item_id", "fold"]
+    ours = {(*[r[c] for c in keys], m): r[f"prediction_{m}"] for r in wide.collect() for m in models}
+    theirs = {(*[r[c] for c in keys], r["model"]): r["prediction"] for r in long_.collect()}
+    assert {k: v for k, v in ours.items() if v is not None} == theirs
+    want = {r["model"]: r for r in E.cross_evaluate(long_).collect()}
+    got = {r["model"]: r for r in E.cross_evaluate(wide).collect()}
+    assert want.keys() == got.keys() == {1, 2, 3}
+    assert all(abs(got[m][c] - want[m][c]) < 1e-9 for m in want for c in ("ub_rmse_avg", "ib_rmse_avg"))
+    rows = S.as_rows(tagged, 3)
+    assert {(*[r[c] for c in keys], r["model"]): r["prediction"] for r in T.cross_predict(models, rows).collect()} == theirs
+    own = {(*[r[c] for c in keys], r["model"]): r["prediction"] for r in T.cross_predict(models, tagged, own_fold_only=True).collect()}
+    assert own == {k: v for k, v in theirs.items() if k[2] == k[3]}
+    # The products of all models stay out of whole-stage code: one method of all is never compiled.
+    products = next(line for line in plan_of(wide).splitlines() if "AS _value_1#" in line)
+    assert "*(" not in products.split("Project")[0]
